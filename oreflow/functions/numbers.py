@@ -1,0 +1,30 @@
+"""Sums that do not depend on the order in which partial results arrive."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+EXACT_TYPE = "DECIMAL(28,6)"
+
+
+def exact_sum(name: str, exact_type: str = EXACT_TYPE) -> Column:
+    """Sum as decimal, returned as double.
+
+    Adding doubles gives another last digit for another order of partitions,
+    and two forms of one query would then differ. NaN and infinities have no
+    decimal form: a group that holds one sums to what doubles would give.
+    """
+    value = F.col(name).cast("double")
+    odd = F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
+    exact = F.sum(F.when(~odd, value.cast(exact_type)))
+    return F.coalesce(F.sum(F.when(odd, value)), exact.cast("double"))
+
+
+def exact_sum_sql(name: str, exact_type: str = EXACT_TYPE) -> str:
+    """The same sum as SQL text."""
+    odd = f"isnan(CAST({name} AS DOUBLE)) OR abs(CAST({name} AS DOUBLE)) = double('Infinity')"
+    return (
+        f"COALESCE(SUM(CASE WHEN {odd} THEN CAST({name} AS DOUBLE) END), "
+        f"CAST(SUM(CASE WHEN NOT ({odd}) THEN CAST({name} AS {exact_type}) END) AS DOUBLE))"
+    )

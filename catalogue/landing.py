@@ -118,18 +118,16 @@ def manifest_diff(spark, sf_dir):
         FROM plan""",
 )
 def manifest_merge(spark, sf_dir):
-    """First run into an empty manifest, second run with what changed since."""
-    first_run = F.lit("2000-05-15").cast("timestamp")
-    second_run = F.lit("2001-09-01").cast("timestamp")
-    empty = ensure_table(spark, work_dir(spark, "manifest"), MANIFEST_SCHEMA)
-    known = listing(spark, sf_dir, "o_orderdate < '2000-05-15'").withColumn("ingested_at", first_run)
-    manifest = merge_manifest(empty, known)
-    remote = listing(spark, sf_dir, "o_orderdate >= '1996-01-01'")
-    pulled = to_pull(plan_pull(remote, manifest)).withColumn("ingested_at", second_run)
-    merged = merge_manifest(manifest, pulled)
-    return merged.select(
-        "file_name", "size_bytes", "last_modified", (F.col("ingested_at") == second_run).alias("pulled_now")
-    )
+    """First run into an empty manifest, second run with what changed since; the manifest is stored in between."""
+    runs = {"2000-05-15": "o_orderdate < '2000-05-15'", "2001-09-01": "o_orderdate >= '1996-01-01'"}
+    manifest = ensure_table(spark, work_dir(spark, "manifest"), MANIFEST_SCHEMA)
+    for day, available in runs.items():
+        now = F.lit(day).cast("timestamp")
+        pulled = to_pull(plan_pull(listing(spark, sf_dir, available), manifest)).withColumn("ingested_at", now)
+        stored = work_dir(spark, "manifest")
+        merge_manifest(manifest, pulled).write.parquet(stored)
+        manifest = spark.read.parquet(stored)
+    return manifest.select("file_name", "size_bytes", "last_modified", (F.col("ingested_at") == now).alias("pulled_now"))
 
 
 @register(

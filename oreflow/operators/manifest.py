@@ -42,9 +42,14 @@ def to_pull(plan: DataFrame, key: str = "file_name", compare: tuple[str, ...] =
 def merge_manifest(
     manifest: DataFrame, updates: DataFrame, key: str = "file_name", newest_first: list[Column] | None = None
 ) -> DataFrame:
-    """Upsert: a row of ``updates`` replaces the one with its key or is added."""
-    once = dedup_latest(updates, [key], newest_first or [F.col("ingested_at").desc_nulls_last()])
-    return manifest.join(once.select(key), key, "left_anti").unionByName(once.select(*manifest.columns))
+    """Upsert: a row of ``updates`` replaces the one with its key or is added.
+
+    Both sides are read once and meet in one shuffle, which also settles keys
+    that the updates hold more than once.
+    """
+    rows = manifest.withColumn("_update", F.lit(0)).unionByName(updates.withColumn("_update", F.lit(1)))
+    order = [F.desc("_update"), *(newest_first or [F.desc_nulls_last("ingested_at")])]
+    return dedup_latest(rows, [key], order).drop("_update")
 
 
 def run_summary(plan: DataFrame, failed: DataFrame | None = None, key: str = "file_name") -> DataFrame:

@@ -43,11 +43,11 @@ def newest_landed(spark: SparkSession, root: str, name: str) -> tuple[int, str]
     return (newest["v"], newest["h"]) if newest else None
 
 
-def land_snapshot(df: DataFrame, root: str, name: str, sep: str = "\t") -> bool:
-    """Write a delimited snapshot as the next version, unless the newest one has the same rows.
+def land_snapshot(df: DataFrame, root: str, name: str, kind: str = "delimited", sep: str = "\t") -> bool:
+    """Write a snapshot as the next version, unless the newest one has the same rows.
 
     Returns whether it was written. An earlier version's content may come back:
-    only the newest one counts as unchanged.
+    only the newest one counts as unchanged. ``kind`` is ``delimited`` or ``text``.
     """
     spark = df.sparkSession
     hash16 = fingerprint(df).first()["content_hash"]
@@ -55,7 +55,11 @@ def land_snapshot(df: DataFrame, root: str, name: str, sep: str = "\t") -> bool:
     if newest and newest[1] == hash16:
         return False
     version = newest[0] + 1 if newest else 1
-    write_delimited(df, f"{root}/{name}__{version:08d}_{hash16}", sep)
+    target = f"{root}/{name}__{version:08d}_{hash16}"
+    if kind == "text":
+        df.write.mode("overwrite").text(target)
+    else:
+        write_delimited(df, target, sep, "overwrite")
     return True
 
 

@@ -9,7 +9,9 @@ from oreflow import layouts
 from oreflow.functions.names import sanitize_names
 from oreflow.operators.dedup import dedup_latest, latest_snapshot
 from oreflow.operators.verify import overlap_audit
-from oreflow.plans.medallion import newest_files, silver_observations, silver_population
+from oreflow.plans.medallion import (
+    VERSION, current_snapshot, silver_observations, silver_population, versioned_lineage,
+)
 from oreflow.session import work_dir
 from oreflow.sinks.landing import land_snapshot, write_delimited
 from oreflow.sources import (
@@ -132,8 +134,8 @@ def bronze_stream_revision(spark, sf_dir):
     for version in (preliminary, revised):
         land_snapshot(version, f"{root}/landing", layouts.CURRENT_FILE)
         scan = stream_delimited(spark, f"{root}/landing/{layouts.CURRENT_FILE}__*", SCHEMA)
-        run_available_now(with_lineage(scan, source_file=True), f"{root}/bronze", f"{root}/checkpoint")
-    newest = newest_files(spark.read.parquet(f"{root}/bronze"))
+        run_available_now(versioned_lineage(scan), f"{root}/bronze", f"{root}/checkpoint", (VERSION,))
+    newest = current_snapshot(spark.read.parquet(f"{root}/bronze"))
     return silver_observations(newest, [F.col("_ingested_at")]).valid.drop("footnote_codes")
 
 

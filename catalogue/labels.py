@@ -11,14 +11,14 @@ CATALOGUE = Catalogue()
 register = CATALOGUE.register
 
 
-def part_series(spark, sf_dir):
+def part_series(part):
     """Parts as series. Codes are padded; sizes beyond the nations and brands beyond the regions have no text."""
     def padded(column):
         return F.rpad(column, 8, " ")
 
     name = F.when(F.col("p_name") != "red widget", F.col("p_name"))
     season = F.when(F.col("p_type") == "PROMO", "S").when(F.col("p_type") == "ECONOMY", "U").otherwise(F.col("p_type"))
-    return table(spark, sf_dir, "part").select(
+    return part.select(
         padded(F.col("p_partkey").cast("string")).alias("series_id"),
         padded(F.lpad(F.col("p_size").cast("string"), 2, "0")).alias("sector_code"),
         padded(F.lpad(F.regexp_extract("p_brand", r"(\d+)", 1), 2, "0")).alias("measure_code"),
@@ -28,8 +28,7 @@ def part_series(spark, sf_dir):
     )
 
 
-def part_lookups(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
+def part_lookups(spark, sf_dir, part):
     return {
         "sector_code": table(spark, sf_dir, "nation").select(
             F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("sector_code"), F.col("n_name").alias("sector_name")
@@ -69,7 +68,8 @@ def part_lookups(spark, sf_dir):
     FROM j""",
 )
 def dim_label(spark, sf_dir):
-    return label_series(part_series(spark, sf_dir), part_lookups(spark, sf_dir))
+    part = table(spark, sf_dir, "part")
+    return label_series(part_series(part), part_lookups(spark, sf_dir, part))
 
 
 @register(

@@ -21,9 +21,8 @@ def stream_dedup_watermark(spark, sf_dir):
         events.write.mode("append").parquet(f"{root}/in")
     stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
     # the delay spans the whole history, so nothing is late
-    once = dedup_within_watermark(
-        stream.withColumn("_file", F.col("_metadata.file_path")), ["event_id"], "ts", "60 days", F.col("_file")
-    ).drop("_file")
+    origin = F.concat_ws("@", F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    once = dedup_within_watermark(stream, ["event_id"], "ts", "60 days", spread=origin)
     run_available_now(once, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
 

@@ -11,7 +11,7 @@ from oreflow import layouts
 from oreflow.functions.names import resolve_column
 from oreflow.functions.text import to_double, to_int, to_long, trimmed
 from oreflow.operators import analytics, verify
-from oreflow.operators.dedup import dedup_latest, latest_snapshot
+from oreflow.operators.dedup import dedup_latest
 from oreflow.operators.dimension import label_series
 from oreflow.operators.quality import Checked, Expectation, apply_expectations
 from oreflow.plans import questions_sql
@@ -134,6 +134,15 @@ def questions(
 
 
 # --- one full run over a landing folder ---
+VERSION = "_version"
+
+
+def versioned_lineage(scan: DataFrame) -> DataFrame:
+    """Lineage columns and the version in the name of the landed file."""
+    lined = with_lineage(scan, source_file=True)
+    return lined.withColumn(VERSION, snapshot_of(F.col("_source_file"))["version"])
+
+
 class Warehouse:
     """Tables below one shared root: ``<root>/<layer>/<table>``."""
 
@@ -150,7 +159,7 @@ class Warehouse:
         return read_published(self.spark, self.path(layer, table))
 
     def append(self, table: str, stream: DataFrame) -> None:
-        run_available_now(stream, self.path("bronze", table), self.path("_checkpoints", table))
+        run_available_now(stream, self.path("bronze", table), self.path("_checkpoints", table), (VERSION,))
 
     def publish(self, layer: str, table: str, checked: Checked) -> DataFrame:
         publish(checked, self.path(layer, table))
@@ -166,7 +175,7 @@ def run_bronze(house: Warehouse, landing: str, population_landing: str) -> None:
 
     def delimited(name: str, columns: list[str], rules: list[Expectation]) -> DataFrame:
         scan = stream_delimited(spark, versioned(landing, name), layouts.text_schema(columns))
-        return apply_expectations(with_lineage(scan, source_file=True), rules).valid
+        return apply_expectations(versioned_lineage(scan), rules).valid
 
     house.append("bronze_bls_data", delimited(layouts.CURRENT_FILE, layouts.OBSERVATION_COLUMNS, BRONZE_OBSERVATION_RULES))
     house.append("bronze_bls_data_alldata", delimited(layouts.ALL_DATA_FILE, layouts.OBSERVATION_COLUMNS, []))
@@ -176,24 +185,25 @@ def run_bronze(house: Warehouse, landing: str, population_landing: str) -> None:
         names = spark.read.option("sep", "\t").option("header", "true").csv(versioned(landing, name)).columns
         house.append("bronze_bls_" + name.replace(".", "_"), delimited(name, [n.strip() for n in names], []))
     notes = stream_lines(spark, versioned(landing, layouts.NOTES_FILE))
-    house.append("bronze_bls_pr_txt", with_lineage(notes, source_file=True))
+    house.append("bronze_bls_pr_txt", versioned_lineage(notes))
     envelopes = stream_envelopes(spark, versioned(population_landing, layouts.POPULATION_FILE), layouts.POPULATION_RECORD)
-    records = with_lineage(envelopes, source_file=True).select(
-        F.explode("data").alias("record"), "_ingested_at", "_source_file"
-    )
-    house.append("bronze_population", records.select("record.*", "_ingested_at", "_source_file"))
+    lineage = ["_ingested_at", "_source_file", VERSION]
+    records = versioned_lineage(envelopes).select(F.explode("data").alias("record"), *lineage)
+    house.append("bronze_population", records.select("record.*", *lineage))
+
 
+def current_snapshot(bronze: DataFrame) -> DataFrame:
+    """Rows of the newest version of a table that holds one logical file.
 
-def newest_files(bronze: DataFrame) -> DataFrame:
-    """Rows of the newest version of each landed file."""
-    parts = snapshot_of(F.col("_source_file"))
-    named = bronze.withColumn("_file", parts["file_name"]).withColumn("_version", parts["version"])
-    return latest_snapshot(named, "_file", "_version").drop("_file", "_version")
+    The table is partitioned by version, so older ones are not opened.
+    """
+    newest = bronze.agg(F.max(VERSION)).scalar()
+    return bronze.filter(F.col(VERSION) == newest).drop(VERSION)
 
 
 def run_silver(house: Warehouse) -> None:
     def current(table: str) -> DataFrame:
-        return newest_files(house.bronze(table))
+        return current_snapshot(house.bronze(table))
 
     lookups = {f"{kind}_code": current(f"bronze_bls_pr_{kind}") for kind in ("sector", "measure", "duration", "class")}
     house.publish("silver", "silver_bls_data", silver_observations(current("bronze_bls_data"), [F.col("_ingested_at")]))

@@ -161,8 +161,8 @@ class Warehouse:
     def append(self, table: str, stream: DataFrame) -> None:
         run_available_now(stream, self.path("bronze", table), self.path("_checkpoints", table), (VERSION,))
 
-    def publish(self, layer: str, table: str, checked: Checked) -> DataFrame:
-        publish(checked, self.path(layer, table))
+    def publish(self, layer: str, table: str, checked: Checked, cluster_by: tuple[str, ...] = ()) -> DataFrame:
+        publish(checked, self.path(layer, table), cluster_by)
         return self.read(layer, table)
 
 
@@ -206,7 +206,9 @@ def run_silver(house: Warehouse) -> None:
         return current_snapshot(house.bronze(table))
 
     lookups = {f"{kind}_code": current(f"bronze_bls_pr_{kind}") for kind in ("sector", "measure", "duration", "class")}
-    house.publish("silver", "silver_bls_data", silver_observations(current("bronze_bls_data"), [F.col("_ingested_at")]))
+    # one series is asked for by id, and all are summed by series and year: keep them together
+    observations = silver_observations(current("bronze_bls_data"), [F.col("_ingested_at")])
+    house.publish("silver", "silver_bls_data", observations, cluster_by=("series_id", "year", "period"))
     house.publish("silver", "silver_bls_series", silver_series(current("bronze_bls_series"), lookups))
     house.publish("silver", "silver_population", silver_population(current("bronze_population")))
 

@@ -1,30 +1,48 @@
-"""Sums that do not depend on the order in which partial results arrive."""
+"""Sums that do not depend on the order in which partial results arrive.
+
+Adding doubles gives another last digit for another order of partitions, and
+two forms of one query would then differ. These sums are exact to six decimal
+places and come back as double:
+
+* below a million, whole and fractional part are added as integers, which
+  costs no more than adding doubles (neither sum can overflow before some
+  10^12 rows of one group);
+* larger values are added as decimals;
+* NaN and infinities have neither form: a group that holds one sums to what
+  doubles would give.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT_TYPE = "DECIMAL(28,6)"
-
+LARGE = 1e6
+EXACT, TOTAL = "DECIMAL(28,6)", "DECIMAL(25,6)"
 
-def exact_sum(name: str, exact_type: str = EXACT_TYPE) -> Column:
-    """Sum as decimal, returned as double.
 
-    Adding doubles gives another last digit for another order of partitions,
-    and two forms of one query would then differ. NaN and infinities have no
-    decimal form: a group that holds one sums to what doubles would give.
-    """
+def exact_sum(name: str) -> Column:
     value = F.col(name).cast("double")
     odd = F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
-    exact = F.sum(F.when(~odd, value.cast(exact_type)))
-    return F.coalesce(F.sum(F.when(odd, value)), exact.cast("double"))
+    small = F.abs(value) < LARGE
+    whole = F.sum(F.when(small, F.floor(value))).cast(TOTAL)
+    millionths = F.sum(F.when(small, F.rint((value - F.floor(value)) * 1e6).cast("bigint"))).cast(TOTAL)
+    large = F.sum(F.when(~small & ~odd, value.cast(EXACT)))
+    below = whole + (millionths / 1000000).cast(TOTAL)
+    total = F.coalesce(below + large, below, large)
+    return F.coalesce(F.sum(F.when(odd, value)), total.cast("double"))
 
 
-def exact_sum_sql(name: str, exact_type: str = EXACT_TYPE) -> str:
+def exact_sum_sql(name: str) -> str:
     """The same sum as SQL text."""
-    odd = f"isnan(CAST({name} AS DOUBLE)) OR abs(CAST({name} AS DOUBLE)) = double('Infinity')"
+    value = f"CAST({name} AS DOUBLE)"
+    odd = f"(isnan({value}) OR abs({value}) = double('Infinity'))"
+    small = f"abs({value}) < {LARGE:.0f}"
+    whole = f"CAST(SUM(CASE WHEN {small} THEN floor({value}) END) AS {TOTAL})"
+    millionths = f"CAST(SUM(CASE WHEN {small} THEN CAST(rint(({value} - floor({value})) * 1000000) AS BIGINT) END) AS {TOTAL})"
+    large = f"SUM(CASE WHEN NOT {small} AND NOT {odd} THEN CAST({value} AS {EXACT}) END)"
+    below = f"({whole} + CAST({millionths} / 1000000 AS {TOTAL}))"
     return (
-        f"COALESCE(SUM(CASE WHEN {odd} THEN CAST({name} AS DOUBLE) END), "
-        f"CAST(SUM(CASE WHEN NOT ({odd}) THEN CAST({name} AS {exact_type}) END) AS DOUBLE))"
+        f"COALESCE(SUM(CASE WHEN {odd} THEN {value} END), "
+        f"CAST(COALESCE({below} + {large}, {below}, {large}) AS DOUBLE))"
     )

@@ -201,7 +201,9 @@ def current_snapshot(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col(VERSION) == newest).drop(VERSION)
 
 
-def run_silver(house: Warehouse) -> None:
+def run_silver(house: Warehouse, keep_rejected: bool = False) -> None:
+    """``keep_rejected`` also publishes the rows that the rules drop, with the rules they fail."""
+
     def current(table: str) -> DataFrame:
         return current_snapshot(house.bronze(table))
 
@@ -209,6 +211,8 @@ def run_silver(house: Warehouse) -> None:
     # one series is asked for by id, and all are summed by series and year: keep them together
     observations = silver_observations(current("bronze_bls_data"), [F.col("_ingested_at")])
     house.publish("silver", "silver_bls_data", observations, cluster_by=("series_id", "year", "period"))
+    if keep_rejected:
+        house.publish("silver", "silver_bls_data_rejected", apply_expectations(observations.quarantine, []))
     house.publish("silver", "silver_bls_series", silver_series(current("bronze_bls_series"), lookups))
     house.publish("silver", "silver_population", silver_population(current("bronze_population")))
 

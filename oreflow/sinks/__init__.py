@@ -1,12 +1,12 @@
 from oreflow.sinks.landing import land_snapshot, snapshot_of
-from oreflow.sinks.publish import ExpectationFailed, publish, read_published
+from oreflow.sinks.publish import ExpectationFailed, publish, read_published, rule_history
 from oreflow.sinks.tables import (
     append_merged, document_columns, ensure_table, read_merged, replace_table_as, save_table, write_partitioned,
 )
 
 __all__ = [
     "land_snapshot", "snapshot_of",
-    "ExpectationFailed", "publish", "read_published",
+    "ExpectationFailed", "publish", "read_published", "rule_history",
     "append_merged", "document_columns", "ensure_table", "read_merged",
     "replace_table_as", "save_table", "write_partitioned",
 ]

@@ -3,6 +3,7 @@
 Layout below a table's root::
 
     data/version=N        the rows
+    metrics/version=N     what the warn and fail rules found in them
     published/version=N   a marker, written only once version N has passed
 
 A reader takes the newest marked version, so it never sees a version that is
@@ -65,12 +66,21 @@ def publish(checked: Checked, root: str, cluster_by: tuple[str, ...] = ()) -> in
     if cluster_by:
         rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     rows.write.mode("overwrite").parquet(target)
-    gates = [rule for rule in checked.rules if rule.action == "fail"]
-    if gates:
-        stored = read_version(spark, root, version)
-        broken = violations(stored, gates).filter("violations > 0").collect()  # one row per rule at most
+    judged = [rule for rule in checked.rules if rule.action != "drop"]
+    if judged:
+        metrics = f"{root}/metrics/version={version}"
+        violations(read_version(spark, root, version), judged).write.mode("overwrite").parquet(metrics)
+        # one row per rule at most
+        broken = spark.read.parquet(metrics).filter("action = 'fail' AND violations > 0").collect()
         if broken:
             faults = ", ".join(f"{row['rule']}: {row['violations']} of {row['rows']} rows" for row in broken)
             raise ExpectationFailed(f"{root} not published ({faults})")
     mark_published(spark, root, version)
     return version
+
+
+def rule_history(spark: SparkSession, root: str) -> DataFrame:
+    """What each rule found in each version, failed ones included."""
+    found = spark.read.parquet(f"{root}/metrics")
+    share = 1 - F.col("violations") / F.col("rows")
+    return found.withColumn("pass_rate", F.when(F.col("rows") > 0, share))

@@ -6,7 +6,7 @@ import pytest
 
 from oreflow import layouts
 from oreflow.plans.landing_run import land_folder, load_manifest
-from oreflow.plans.medallion import Warehouse, run_all, run_bronze
+from oreflow.plans.medallion import Warehouse, run_all, run_bronze, run_silver
 from oreflow.sinks.publish import ExpectationFailed
 
 OBS_HEADER = "series_id        \tyear\tperiod\t       value\tfootnote_codes"
@@ -97,6 +97,12 @@ def test_second_run_without_changes_adds_nothing(spark, world):
     assert load_manifest(spark, world["manifest"]).count() == 11
 
 
+def test_rejected_rows_are_kept_on_request(spark, world):
+    run_silver(world["house"], keep_rejected=True)
+    rejected = world["house"].read("silver", "silver_bls_data_rejected").collect()
+    assert [(r.series_id, r.period, r.failed_rules) for r in rejected] == [("PRS3", "X01", ["valid_period"])]
+
+
 def test_revision_replaces_values_and_removes_keys(spark, world):
     house = world["house"]
     revised = [(s, y, p, 100 if (y, p) == (2012, "Q01") else v) for s, y, p, v in world["observations"] if s != "PRS3"]

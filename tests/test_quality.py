@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreflow.operators.quality import Expectation, apply_expectations, assertions, key_repeats, pass_rates
-from oreflow.sinks.publish import ExpectationFailed, publish, published_version, read_published
+from oreflow.sinks.publish import ExpectationFailed, publish, published_version, read_published, rule_history
 
 RULES = [
     Expectation("has_key", "k IS NOT NULL AND k != ''", "drop"),
@@ -77,6 +77,10 @@ def test_failed_rule_publishes_nothing(spark, rows, tmp_path):
     with pytest.raises(ExpectationFailed):
         publish(apply_expectations(spark.createDataFrame([(None,)], "years INT"), rule), root)
     assert rows(read_published(spark, root)) == [(6,)] and published_version(spark, root) == 1
+    # the failed attempts shared the number of the version that never came to be
+    assert rows(rule_history(spark, root), "version", "rule", "violations", "pass_rate") == [
+        (1, "complete", 0, 1.0), (2, "complete", 1, 0.0),
+    ]
 
 
 def test_a_table_can_be_rebuilt_from_itself(spark, rows, tmp_path):

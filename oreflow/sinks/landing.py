@@ -39,22 +39,26 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(content_hash(F.sha2(mixed, 256)).alias("content_hash"))
 
 
+LOG_SCHEMA = "file_name STRING, version BIGINT, content_hash STRING"
+
+
 def newest_landed(spark: SparkSession, root: str, name: str) -> tuple[int, str] | None:
+    """Version and hash of the newest complete snapshot, from the log beside the snapshots."""
     try:
-        files = spark.read.format("binaryFile").load(f"{root}/{name}__*").select("path")
+        log = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_landed")
     except AnalysisException:
         return None
-    parts = snapshot_of(F.col("path"))
-    found = files.select(F.struct(parts["version"].alias("v"), parts["content_hash"].alias("h")).alias("s"))
-    newest = found.agg(F.max("s").alias("s")).first()["s"]
-    return (newest["v"], newest["h"]) if newest else None
+    newest = log.filter(F.col("file_name") == name).agg(F.max(F.struct("version", "content_hash")).alias("s")).first()["s"]
+    return (newest["version"], newest["content_hash"]) if newest else None
 
 
 def land_snapshot(df: DataFrame, root: str, name: str, kind: str = "delimited", sep: str = "\t") -> bool:
     """Write a snapshot as the next version, unless the newest one has the same rows.
 
     Returns whether it was written. An earlier version's content may come back:
-    only the newest one counts as unchanged. ``kind`` is ``delimited`` or ``text``.
+    only the newest one counts as unchanged. A run that dies half-way leaves no
+    log entry, and the next one writes the version again. ``kind`` is
+    ``delimited`` or ``text``.
     """
     spark = df.sparkSession
     hash16 = fingerprint(df).first()["content_hash"]
@@ -62,11 +66,12 @@ def land_snapshot(df: DataFrame, root: str, name: str, kind: str = "delimited",
     if newest and newest[1] == hash16:
         return False
     version = newest[0] + 1 if newest else 1
-    target = f"{root}/{name}__{version:08d}_{hash16}"
+    target = f"{root}/{name}{MARK}{version:08d}_{hash16}"
     if kind == "text":
         df.write.mode("overwrite").text(target)
     else:
         write_delimited(df, target, sep, "overwrite")
+    spark.createDataFrame([(name, version, hash16)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_landed")
     return True
 
 

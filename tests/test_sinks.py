@@ -52,6 +52,15 @@ def test_snapshots_are_landed_once_per_change(spark, tmp_path, rows):
     assert got == [("1", "q\tt", "f", 1), ("1", "q\tt", "f", 3), ("2", "q\tt", "f", 2)]
 
 
+def test_a_landing_that_died_is_repeated(spark, tmp_path):
+    root = str(tmp_path)
+    df = spark.createDataFrame([("1",)], "v STRING")
+    half = f"{root}/f__00000001_{fingerprint(df).first()[0]}"
+    df.limit(0).write.csv(half)  # a snapshot without its log entry
+    assert land_snapshot(df, root, "f") and not land_snapshot(df, root, "f")
+    assert spark.read.csv(half, header=True).count() == 1
+
+
 def test_name_of_a_single_landed_file(spark):
     df = spark.createDataFrame([("s3://b/x/pr.data.0.Current__00000012_0123456789abcdef",), ("s3://b/x/plain",)], "p STRING")
     parts = snapshot_of(F.col("p"))

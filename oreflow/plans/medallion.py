@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from oreflow import layouts
 from oreflow.functions.names import resolve_column
@@ -13,14 +15,14 @@ from oreflow.functions.text import to_double, to_int, to_long, trimmed
 from oreflow.operators import analytics, verify
 from oreflow.operators.dedup import dedup_latest
 from oreflow.operators.dimension import label_series
-from oreflow.operators.quality import Checked, Expectation, apply_expectations
+from oreflow.operators.quality import Checked, Expectation, apply_expectations, key_repeats
 from oreflow.plans import questions_sql
 from oreflow.sinks.landing import snapshot_of
 from oreflow.sinks.publish import publish, read_published
-from oreflow.sources.delimited import stream_delimited
+from oreflow.sources.delimited import read_delimited, stream_delimited
 from oreflow.sources.documents import stream_envelopes, stream_lines
 from oreflow.sources.lineage import with_lineage
-from oreflow.streaming.ingest import run_available_now
+from oreflow.streaming.ingest import await_all, start_available_now
 
 # --- rules of each layer ---
 BRONZE_OBSERVATION_RULES = [
@@ -75,9 +77,9 @@ def silver_series(bronze_series: DataFrame, lookups: dict[str, DataFrame]) -> Ch
 
 def silver_population(bronze: DataFrame, keys: tuple[str, ...] = ("year",)) -> Checked:
     """Year, population and, where the source has it, nation, whatever the case of the names."""
-    year = resolve_column(bronze, "Year", "ID Year")
+    year = resolve_column(bronze, "Year", "ID Year", "ID_Year")
     population = resolve_column(bronze, "Population")
-    nation = resolve_column(bronze, "Nation", "ID Nation", "Nation ID", required=False)
+    nation = resolve_column(bronze, "Nation", "ID Nation", "Nation ID", "ID_Nation", "Nation_ID", required=False)
     columns = [to_int(year).alias("year"), to_long(population).alias("population")]
     if nation:
         columns.append(F.col(f"`{nation}`").alias("nation"))
@@ -158,8 +160,8 @@ class Warehouse:
     def read(self, layer: str, table: str) -> DataFrame:
         return read_published(self.spark, self.path(layer, table))
 
-    def append(self, table: str, stream: DataFrame) -> None:
-        run_available_now(stream, self.path("bronze", table), self.path("_checkpoints", table), (VERSION,))
+    def append(self, table: str, stream: DataFrame) -> StreamingQuery:
+        return start_available_now(stream, self.path("bronze", table), self.path("_checkpoints", table), (VERSION,))
 
     def publish(self, layer: str, table: str, checked: Checked, cluster_by: tuple[str, ...] = ()) -> DataFrame:
         publish(checked, self.path(layer, table), cluster_by)
@@ -167,29 +169,35 @@ class Warehouse:
 
 
 def run_bronze(house: Warehouse, landing: str, population_landing: str) -> None:
-    """Append what is new in the landing folders. Files carry their version in the name."""
+    """Append what is new in the landing folders, all tables at the same time.
+
+    Files carry their version in the name.
+    """
     spark = house.spark
 
     def versioned(folder: str, name: str) -> str:
         return f"{folder}/{name}__*"
 
-    def delimited(name: str, columns: list[str], rules: list[Expectation]) -> DataFrame:
-        scan = stream_delimited(spark, versioned(landing, name), layouts.text_schema(columns))
-        return apply_expectations(versioned_lineage(scan), rules).valid
+    def delimited(name: str, columns: list[str]) -> DataFrame:
+        return versioned_lineage(stream_delimited(spark, versioned(landing, name), layouts.text_schema(columns)))
 
-    house.append("bronze_bls_data", delimited(layouts.CURRENT_FILE, layouts.OBSERVATION_COLUMNS, BRONZE_OBSERVATION_RULES))
-    house.append("bronze_bls_data_alldata", delimited(layouts.ALL_DATA_FILE, layouts.OBSERVATION_COLUMNS, []))
-    house.append("bronze_bls_series", delimited(layouts.SERIES_FILE, layouts.SERIES_COLUMNS, BRONZE_SERIES_RULES))
-    for name in layouts.LOOKUP_FILES:
+    def lookup(name: str) -> DataFrame:
         # a stream needs its schema beforehand: the names come from a file's own header
-        names = spark.read.option("sep", "\t").option("header", "true").csv(versioned(landing, name)).columns
-        house.append("bronze_bls_" + name.replace(".", "_"), delimited(name, [n.strip() for n in names], []))
-    notes = stream_lines(spark, versioned(landing, layouts.NOTES_FILE))
-    house.append("bronze_bls_pr_txt", versioned_lineage(notes))
+        header = read_delimited(spark, versioned(landing, name)).columns
+        return delimited(name, [column.strip() for column in header])
+
     envelopes = stream_envelopes(spark, versioned(population_landing, layouts.POPULATION_FILE), layouts.POPULATION_RECORD)
     lineage = ["_ingested_at", "_source_file", VERSION]
-    records = versioned_lineage(envelopes).select(F.explode("data").alias("record"), *lineage)
-    house.append("bronze_population", records.select("record.*", *lineage))
+    records = versioned_lineage(envelopes).select(F.explode("data").alias("record"), *lineage).select("record.*", *lineage)
+    tables = {
+        "bronze_bls_data": (delimited(layouts.CURRENT_FILE, layouts.OBSERVATION_COLUMNS), BRONZE_OBSERVATION_RULES),
+        "bronze_bls_data_alldata": (delimited(layouts.ALL_DATA_FILE, layouts.OBSERVATION_COLUMNS), []),
+        "bronze_bls_series": (delimited(layouts.SERIES_FILE, layouts.SERIES_COLUMNS), BRONZE_SERIES_RULES),
+        "bronze_bls_pr_txt": (versioned_lineage(stream_lines(spark, versioned(landing, layouts.NOTES_FILE))), []),
+        "bronze_population": (records, BRONZE_POPULATION_RULES),
+        **{"bronze_bls_" + name.replace(".", "_"): (lookup(name), []) for name in layouts.LOOKUP_FILES},
+    }
+    await_all([house.append(name, apply_expectations(scan, rules).valid) for name, (scan, rules) in tables.items()])
 
 
 def current_snapshot(bronze: DataFrame) -> DataFrame:
@@ -201,13 +209,24 @@ def current_snapshot(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col(VERSION) == newest).drop(VERSION)
 
 
-def run_silver(house: Warehouse, keep_rejected: bool = False) -> None:
-    """``keep_rejected`` also publishes the rows that the rules drop, with the rules they fail."""
+def require_unique(df: DataFrame, keys: list[str], what: str) -> None:
+    """Stop where a key repeats: joined to it, rows would multiply."""
+    repeated = key_repeats(df, keys).limit(3).collect()
+    if repeated:
+        raise ValueError(f"{what} repeats the keys {[tuple(row[k] for k in keys) for row in repeated]}")
 
-    def current(table: str) -> DataFrame:
-        return current_snapshot(house.bronze(table))
 
+def run_silver(
+    house: Warehouse, bronze: Callable[[str], DataFrame] | None = None, keep_rejected: bool = False
+) -> None:
+    """Silver from the newest files of bronze, or from the tables that ``bronze`` names.
+
+    ``keep_rejected`` also publishes the rows that the rules drop, with the rules they fail.
+    """
+    current = bronze or (lambda table: current_snapshot(house.bronze(table)))
     lookups = {f"{kind}_code": current(f"bronze_bls_pr_{kind}") for kind in ("sector", "measure", "duration", "class")}
+    for code, lookup in lookups.items():
+        require_unique(lookup.select(trimmed(code)), [code], f"the lookup of {code}")
     # one series is asked for by id, and all are summed by series and year: keep them together
     observations = silver_observations(current("bronze_bls_data"), [F.col("_ingested_at")])
     house.publish("silver", "silver_bls_data", observations, cluster_by=("series_id", "year", "period"))

@@ -1,5 +1,6 @@
 from oreflow.streaming.changes import apply_changes, compact_changes, read_current
 from oreflow.streaming.dedup import dedup_within_watermark
-from oreflow.streaming.ingest import run_available_now
+from oreflow.streaming.ingest import await_all, run_available_now, start_available_now
 
-__all__ = ["apply_changes", "compact_changes", "read_current", "dedup_within_watermark", "run_available_now"]
+__all__ = ["apply_changes", "compact_changes", "read_current", "dedup_within_watermark",
+           "await_all", "run_available_now", "start_available_now"]

@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 
-def run_available_now(stream: DataFrame, out: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Append everything that has arrived since the last run, then stop."""
+def start_available_now(
+    stream: DataFrame, out: str, checkpoint: str, partition_by: tuple[str, ...] = ()
+) -> StreamingQuery:
+    """Start appending everything that has arrived since the last run; the query stops by itself."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.trigger(availableNow=True).start(out).awaitTermination()
+    return writer.trigger(availableNow=True).start(out)
+
+
+def await_all(queries: Iterable[StreamingQuery]) -> None:
+    """Wait for every query, then report the first failure."""
+    failure = None
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            failure = failure or error
+    if failure:
+        raise failure
+
+
+def run_available_now(stream: DataFrame, out: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> None:
+    await_all([start_available_now(stream, out, checkpoint, partition_by)])

@@ -5,8 +5,10 @@ import json
 import pytest
 
 from oreflow import layouts
+from oreflow.functions.text import trimmed
+from oreflow.plans.batch_run import run_batch
 from oreflow.plans.landing_run import land_folder, load_manifest
-from oreflow.plans.medallion import Warehouse, run_all, run_bronze, run_silver
+from oreflow.plans.medallion import Warehouse, require_unique, run_all, run_bronze, run_silver
 from oreflow.sinks.publish import ExpectationFailed
 
 OBS_HEADER = "series_id        \tyear\tperiod\t       value\tfootnote_codes"
@@ -58,7 +60,7 @@ def world(spark, tmp_path_factory):
         ]
 
     return {
-        "land": land, "house": house, "raw": raw, "observations": observations,
+        "land": land, "house": house, "raw": raw, "population": population, "observations": observations,
         "landing": (str(base / "landing" / "raw"), str(base / "landing" / "population")), "manifest": str(base / "manifest" / "raw"),
     }
 
@@ -103,6 +105,20 @@ def test_rejected_rows_are_kept_on_request(spark, world):
     assert [(r.series_id, r.period, r.failed_rules) for r in rejected] == [("PRS3", "X01", ["valid_period"])]
 
 
+def test_batch_variant_gives_the_same_gold(spark, world, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "batch"))
+    run_batch(house, str(world["raw"]), str(world["population"]))
+    for table in ("gold_population_stats", "gold_bls_best_year_per_series", "gold_prs30006032_q01_population"):
+        assert gold(house, table) == gold(world["house"], table)
+    assert house.read("bronze_batch", "bronze_bls_pr_measure").first()["measure_code"] == "01"
+
+
+def test_repeated_lookup_codes_stop_the_run(spark, world):
+    doubled = spark.createDataFrame([("3100", "a"), ("3100 ", "b")], "sector_code STRING, sector_name STRING")
+    with pytest.raises(ValueError, match="sector_code repeats the keys .*3100"):
+        require_unique(doubled.select(trimmed("sector_code")), ["sector_code"], "the lookup of sector_code")
+
+
 def test_revision_replaces_values_and_removes_keys(spark, world):
     house = world["house"]
     revised = [(s, y, p, 100 if (y, p) == (2012, "Q01") else v) for s, y, p, v in world["observations"] if s != "PRS3"]

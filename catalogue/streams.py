@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.base import Catalogue, table
-from oreflow.session import work_dir
+from oreflow.session import state_session, work_dir
 from oreflow.streaming import apply_changes, dedup_within_watermark, read_current, run_available_now
 
 CATALOGUE = Catalogue()
@@ -19,7 +19,7 @@ def stream_dedup_watermark(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     for _ in range(2):
         events.write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+    stream = state_session(spark).readStream.schema(events.schema).parquet(f"{root}/in")
     # the delay spans the whole history, so nothing is late
     origin = F.concat_ws("@", F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
     once = dedup_within_watermark(stream, ["event_id"], "ts", "60 days", spread=origin)

@@ -7,6 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# State stores outside the heap, with small commits.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Settings that matter for large inputs. Nothing here fixes a partition count:
 # AQE coalesces small shuffle partitions and splits skewed ones, and every join
 # is left to the size-checked broadcast threshold.
@@ -16,10 +24,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    **STATE_SETTINGS,
 }
 
 _local_root: str | None = None
@@ -34,6 +39,22 @@ def build_session(app: str = "oreflow", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session for streams that keep state, on the same context.
+
+    The number of state stores is fixed by the first run of a checkpoint and AQE
+    does not apply, so it follows the cores there are instead of the setting for
+    batch shuffles. State lives in RocksDB, outside the heap.
+    """
+    session = spark.newSession()
+    zone = "spark.sql.session.timeZone"
+    session.conf.set(zone, spark.conf.get(zone))
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    for key, value in STATE_SETTINGS.items():
+        session.conf.set(key, value)
+    return session
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path (not created) under the session's shared folder.
 

@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

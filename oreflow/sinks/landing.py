@@ -34,7 +34,9 @@ def snapshot_of(path: Column) -> dict[str, Column]:
 
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: a hash of the rows that does not depend on their order."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    # the hash passes over NULLs, so where they are is hashed as well
+    row_hash = F.xxhash64(*columns, *[c.isNull() for c in columns]).cast("decimal(38,0)")
     mixed = F.concat_ws("|", F.count(F.lit(1)), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string"))
     return df.agg(content_hash(F.sha2(mixed, 256)).alias("content_hash"))
 

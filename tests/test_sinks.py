@@ -74,6 +74,11 @@ def test_fingerprint_counts_copies(spark):
     assert fingerprint(spark.createDataFrame([], "v STRING")).first()[0] is not None
 
 
+def test_fingerprint_sees_a_value_change_columns(spark):
+    left, right = (spark.createDataFrame([row], "a STRING, b STRING") for row in (("x", None), (None, "x")))
+    assert fingerprint(left).first()[0] != fingerprint(right).first()[0]
+
+
 def test_stream_reads_each_file_once(spark, tmp_path, rows):
     folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     schema = "v STRING"

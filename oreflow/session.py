@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,8 +26,6 @@ SETTINGS = {
     **STATE_SETTINGS,
 }
 
-_local_root: str | None = None
-
 
 def build_session(app: str = "oreflow", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -58,14 +55,10 @@ def state_session(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path (not created) under the session's shared folder.
 
-    The cluster names the folder in ``spark.checkpoint.dir``. Only a local
-    session may fall back to a temporary folder of this machine.
+    The cluster names the folder in ``spark.checkpoint.dir``. Where that is unset,
+    the warehouse, which executors share as well, holds it.
     """
-    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        _local_root = _local_root or tempfile.mkdtemp(prefix="oreflow-")
-        root = _local_root
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -5,11 +5,12 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+import catalogue
 from oracle import compare, oracle_connection
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalogue.all_queries(), catalogue.all_oracles()
 
 
 @pytest.fixture(scope="module")

@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, chat_format, decontamination, language_id, suffix_dedup
+from oreflow.llm import bpe, chat_format, decontamination, language_id, ngram_join, suffix_dedup
 from oreflow.llm.shared import table
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return encoded.select(
@@ -53,6 +57,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_ngram_join": op4_ngram_join,
     "op5_bpe": op5_bpe,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,

@@ -1,0 +1,93 @@
+import random
+
+import numpy as np
+import pytest
+
+from oreflow.llm.ngram_join import Similarity, bands, link_documents, partitioning, signatures
+
+
+def brute(rows, rule):
+    sets = []
+    for _, text in rows:
+        words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", words) if w]
+        n = rule.words
+        grams = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if len(words) >= n else ({tuple(words)} if words else set())
+        sets.append(grams)
+    parent = list(range(len(rows)))
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and rows[i][0] is not None and rows[j][0] is not None:
+                both = len(sets[i] & sets[j])
+                if rule.denominator * both >= rule.numerator * len(sets[i] | sets[j]):
+                    parent[root(i)] = root(j)
+    low = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            low[root(i)] = min(doc_id, low.get(root(i), doc_id))
+    return sorted(((d, len(s), low[root(i)] if d is not None else None) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
+
+
+def sample_rows(seed=1):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)] + ["The", "the", "é", "OF"]
+    rows, next_id = [], 10
+    for size in [1, 2, 3, 4, 6, 9, 12, 20, 30, 45, 70, 120, 200, 300, 420]:
+        for _ in range(3):
+            base = rng.choices(vocabulary, k=size)
+            for _ in range(rng.randint(1, 7)):
+                words = list(base)
+                for _ in range(rng.choice([0, 0, 1, 1, 2, max(1, size // 60), max(1, size // 30)])):
+                    at = rng.randrange(len(words))
+                    words[at : at + rng.randint(0, 1)] = rng.choices(vocabulary, k=rng.randint(0, 2))
+                rows.append((rng.randrange(10**6) * 100 + next_id % 100, rng.choice([" ", "\n", " \t"]).join(words)))
+                next_id += 1
+    rows += [(3, ""), (4, None), (5, "  \n "), (None, rows[5][1]), (None, None), (6, rows[-1][1].upper().replace("É", "é"))]
+    rows += [(7, rows[-9][1]), (7, rows[-9][1]), (8, "a b"), (9, "a  B"), (1, "a b c"), (2, "a b c d")]
+    # a passage shared by many otherwise different documents, and a chain in which only neighbours link
+    passage = rng.choices(vocabulary, k=60)
+    rows += [(2000 + i, " ".join(passage + rng.choices(vocabulary, k=30))) for i in range(40)]
+    chain = [f"c{i}" for i in range(160)]
+    rows += [(3000 - i, " ".join(chain[2 * i : 2 * i + 100])) for i in range(25)]
+    return rows
+
+
+@pytest.mark.parametrize("rule", [Similarity(), Similarity(5, 80, 100), Similarity(2, 50, 100)])
+def test_matches_brute_force(spark, rule):
+    rows = sample_rows(rule.words)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((tuple(r) for r in link_documents(docs, rule, bucket_bytes=500).collect()), key=str)
+    assert got == brute(rows, rule)
+
+
+@pytest.mark.parametrize("rule", [Similarity(), Similarity(5, 80, 100), Similarity(1, 60, 100)])
+def test_linked_sets_share_a_signature(rule):
+    rng = np.random.default_rng(3)
+    for size in [1, 2, 3, 5, 8, 9, 10, 11, 19, 20, 21, 40, 60, 100, 150, 152, 200, 400, 900]:
+        for _ in range(12):
+            a = rng.integers(0, 2**63, size).astype(np.uint64)
+            drop = int(rng.integers(0, size // 3 + 1))
+            b = np.concatenate([a[drop:], rng.integers(0, 2**63, int(rng.integers(0, size // 3 + 1))).astype(np.uint64)])
+            a, b = np.unique(a), np.unique(b)
+            common = len(np.intersect1d(a, b))
+            if rule.links(common, len(a) + len(b)) and len(b):
+                found, owner = signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), rule)
+                assert set(found[owner == 0].tolist()) & set(found[owner == 1].tolist())
+
+
+def test_bands_and_partitions():
+    first, last = bands(1000, Similarity())
+    assert first[0] == 1 and (first[1:] == last[:-1] + 1).all() and first[-1] > 1000
+    for k in range(200):
+        groups, parts, spoilt = partitioning(k)
+        assert groups > spoilt and (parts == 1 and spoilt == k or parts == 3 and spoilt == k // 2)
+
+
+def test_empty_table_and_other_columns(spark):
+    assert link_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    odd = spark.createDataFrame([(2, "a b c", 1, "x"), (1, "A b c", 2, "y")], "doc_id long, text string, node int, component string")
+    assert {tuple(r) for r in link_documents(odd).collect()} == {(1, 1, 1), (2, 1, 1)}

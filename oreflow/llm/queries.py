@@ -6,10 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, chat_format, decontamination, language_id, ngram_join, suffix_dedup
+from oreflow.llm import bpe, chat_format, decontamination, embedding_dedup, language_id, license_scan, ngram_join, quality, suffix_dedup
 from oreflow.llm.shared import table
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.score_quality(documents, quality.train_on(documents, table(spark, sf_dir, "labels")))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"))
 
@@ -23,6 +35,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
@@ -57,12 +73,17 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality": op2_quality,
+    "op3_license_scan": op3_license_scan,
     "op4_ngram_join": op4_ngram_join,
     "op5_bpe": op5_bpe,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_chat_format": op10_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_license_scan": license_scan.scan_sql(),
+}

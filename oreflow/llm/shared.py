@@ -26,6 +26,11 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def typed(df: DataFrame, name: str, kind: str) -> Column:
+    """The column as it is where it has this type, else cast. (An alias would keep Spark from seeing equal plans.)"""
+    return F.col(name) if dict(df.dtypes).get(name) == kind else F.col(name).cast(kind).alias(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -1,0 +1,60 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from oreflow.llm.quality import features, score_quality, train, train_on
+from oreflow.llm.textbytes import slices
+
+
+def rows():
+    rng = np.random.default_rng(1)
+    words = ["the", "ouh", "and", "tion", "erst", "hea", "nd"]
+    docs, labels = [], []
+    for i in range(400):
+        text = [ "".join(rng.choice(words, 2)) for _ in range(int(rng.integers(5, 80)))]
+        bad = i % 4 == 0
+        if bad:
+            text = [w.upper() + "!!" for w in text] if i % 8 else [text[0]] * 40
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(not bad), 0))
+    return docs, labels
+
+
+DOCS, LABELS = "doc_id long, text string", "doc_id long, quality int, toxic int"
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = rows()
+    odd = [(1000, None), (1001, ""), (None, "the"), (1002, "x"), (1003, "the ouh " * 30000)]
+    table = spark.createDataFrame(docs + odd, DOCS)
+    model = train_on(table, spark.createDataFrame(labels + [(None, 1, 0), (5, None, 0), (6, 7, 1), (9999, 0, 0)], LABELS))
+    found = score_quality(table, model).collect()
+    assert len(found) == len(docs) + len(odd)
+    truth = {d: q for d, q, _ in labels}
+    judged = [(r["predicted"], truth[r["doc_id"]]) for r in found if r["held_out"] and r["doc_id"] in truth]
+    assert len(judged) > 50 and np.mean([p == t for p, t in judged]) > 0.97
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in found)
+    again = {(r["doc_id"], r["score"]) for r in score_quality(table, model).collect()}
+    assert again == {(r["doc_id"], r["score"]) for r in found}
+
+
+def test_learns_nothing_from_nothing(spark):
+    empty, none = spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)
+    model = train_on(empty, none)
+    assert score_quality(empty, model).count() == 0
+    assert {r["score"] for r in score_quality(spark.createDataFrame([(1, "a"), (1, None)], DOCS), model).collect()} == {0.5}
+    one = train([(1, np.array([3]), np.array([1.0]))] * 8)
+    assert one.bias > 1 and not one.weights.any()
+
+
+@pytest.mark.parametrize("texts", [["", "abc", "a b a b", "b b"], ["", ""], ["éé x"], ["ab", "cd", "", "efgh"]])
+def test_features_stay_within_their_text(texts):
+    def of(group):
+        batch = pa.RecordBatch.from_arrays([pa.array(group, pa.string())], ["text"])
+        part = next(slices([batch]))
+        out = [[] for _ in group]
+        for index, edges in features(part):
+            for i in range(len(group)):
+                out[i] += index[edges[i] : edges[i + 1]].tolist()
+        return [sorted(x) for x in out]
+    assert of(texts) == [of([t])[0] for t in texts]

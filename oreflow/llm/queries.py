@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, chat_format, decontamination, embedding_dedup, language_id, license_scan, ngram_join, quality, suffix_dedup
+from oreflow.llm import bpe, chat_format, decontamination, embedding_dedup, language_id, license_scan, lm_scoring, ngram_join, quality, suffix_dedup
 from oreflow.llm.shared import table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return quality.score_quality(documents, quality.train_on(documents, table(spark, sf_dir, "labels")))
@@ -73,6 +77,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_quality": op2_quality,
     "op3_license_scan": op3_license_scan,
     "op4_ngram_join": op4_ngram_join,

@@ -37,10 +37,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.llm.buckets import bucket_count, packed, split_key, unpacked
+from oreflow.llm.shared import checkpointed, typed
 from oreflow.llm.textbytes import Slice, mix, powers, prefix_hash, ranges, slices, span_hash
 
 LENGTH = 50
@@ -48,6 +50,7 @@ GRAM = 18
 BUCKET_BYTES = 8 << 20
 _FLUSH = 1 << 20
 _LOW = np.uint64(0xFFFFFFFF)
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def picked_grams(part: Slice, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -185,15 +188,18 @@ def _packed_contexts(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         coded = contexts.take(pa.array(mine)).dictionary_encode()
         which = coded.indices.to_numpy().astype(np.int32)
         lengths = pa.compute.binary_length(coded.dictionary).to_numpy().astype(np.int32)
-        rows.append((
-            int(bucket[mine[0]]), docs[mine].tobytes(), tags[mine].tobytes(), starts[mine].tobytes(), which.tobytes(),
-            lengths.tobytes(), b"".join(coded.dictionary.to_pylist()),
-        ))
+        columns = (docs[mine], tags[mine], starts[mine], which, lengths)
+        packed_columns = [x.tobytes() for x in columns] + [b"".join(coded.dictionary.to_pylist())]
+        rows.append((int(bucket[mine[0]]), *map(_COMPRESSOR.compress, packed_columns)))
     names = ["bucket", "docs", "tags", "starts", "which", "lengths", "bytes"]
     kinds = [pa.int32(), *[pa.binary()] * 6]
     return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows), kinds)], names)
 
 
+def _unpacked(group: pa.Table, name: str, kind) -> list[np.ndarray]:
+    return [np.frombuffer(_DECOMPRESSOR.decompress(x), kind) for x in group.column(name).to_pylist()]
+
+
 def _binary(sizes: np.ndarray, data: np.ndarray) -> pa.Array:
     edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
@@ -245,13 +251,11 @@ def refine_buckets(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarr
 
 def _repeat_rows(group: pa.Table, length: int) -> pa.Table:
     """Byte spans of a bucket's contexts whose strings start in a document with a smaller id too."""
-    docs, tags = unpacked(group, "docs", np.int64), unpacked(group, "tags", np.int64)
-    starts = unpacked(group, "starts", np.int64)
-    lengths = [np.frombuffer(x, np.int32) for x in group.column("lengths").to_pylist()]
-    which = [np.frombuffer(x, np.int32) for x in group.column("which").to_pylist()]
+    docs, tags, starts = (np.concatenate(_unpacked(group, name, np.int64)) for name in ("docs", "tags", "starts"))
+    lengths, which = _unpacked(group, "lengths", np.int32), _unpacked(group, "which", np.int32)
     before = np.cumsum([0, *map(len, lengths)])
     which = np.concatenate([w + b for w, b in zip(which, before.tolist())]).astype(np.int64)
-    coded = _binary(np.concatenate(lengths), unpacked(group, "bytes", np.uint8)).dictionary_encode()
+    coded = _binary(np.concatenate(lengths), np.concatenate(_unpacked(group, "bytes", np.uint8))).dictionary_encode()
     which = coded.indices.to_numpy().astype(np.int64)[which]
     sizes = pa.compute.binary_length(coded.dictionary).to_numpy().astype(np.int64)
     data = np.frombuffer(b"".join(coded.dictionary.to_pylist()), np.uint8)
@@ -343,9 +347,7 @@ def remove_repeats(
     if not 8 <= gram <= length:
         raise ValueError("8 <= gram <= length")
     others = [k for k in keys if k not in ("doc_id", "text")]
-    every = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *others
-    )
+    every = documents.select(typed(documents, "doc_id", "bigint"), typed(documents, "text", "string"), *others)
     kinds = dict(every.dtypes)
     named, nameless = every.filter("doc_id IS NOT NULL"), every.filter("doc_id IS NULL")
     texts = named.select("doc_id", "text")
@@ -354,9 +356,9 @@ def remove_repeats(
     grams = texts.mapInArrow(lambda b: _gram_rows(b, buckets, length, gram), "bucket int, rest binary, doc binary")
     asked = grams.groupBy("bucket").applyInArrow(_shared_grams, "doc_id long, keys array<long>")
     asked = asked.groupBy("doc_id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
-    copies = _copies(texts)
+    copies = checkpointed(_copies(texts))
 
-    wanted = named.join(asked.join(copies, "doc_id", "left"), "doc_id").select("doc_id", "text", "keys", "copies")
+    wanted = texts.join(asked.join(copies, "doc_id", "left"), "doc_id")
     contexts = wanted.mapInArrow(
         lambda b: _context_rows(b, buckets, length, gram),
         "bucket int, docs binary, tags binary, starts binary, which binary, lengths binary, bytes binary",

@@ -1,34 +1,93 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input.
+
+Every stage takes (spark, docs, sf_dir) and judges all that its predecessor kept.
+All but the last return the columns of documents. Columns of other names are
+left out; missing texts are null texts.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import decontamination, language_id
-from oreflow.llm.shared import table
+from oreflow.llm import bpe, decontamination, language_id, ngram_join, suffix_dedup
+from oreflow.llm.ngram_join import Similarity
+from oreflow.llm.shared import table, typed
 from oreflow.session import work_dir
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Rows cannot be compared in SQL: language profiles, byte-wise repeats and the tokenizer have no SQL form.
+COLUMNS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
+#: Near duplicates: shingles of five words, Jaccard similarity of 0.8 or more.
+NEAR = Similarity(words=5, numerator=80, denominator=100)
+TOKENIZER = "word_bpe_49k.json"
+#: Language profiles, byte-wise repeats and the tokenizer have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    """The columns of documents, by name; others go."""
-    kinds = {"doc_id": "long", "n_chars": "long"}
-    return docs.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in COLUMNS])
+    return docs.select(*[typed(docs, name, kind) for name, kind in COLUMNS.items()])
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language cannot be told (``und``: a null text or one without a letter) go."""
+    docs = _documents(docs)
+    found = language_id.predict_language(docs, language_id.train_prototypes(docs), keys=tuple(COLUMNS))
+    return found.filter(F.col("lang_pred") != language_id.UNKNOWN).select(*COLUMNS)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by near-equal word sequences the one with the smallest id stays.
+
+    Rows without an id are in no group and stay. Rows that repeat an id are one
+    document to this stage: one of them stays, the one whose text sorts first.
+    """
+    docs = _documents(docs)
+    groups = ngram_join.link_documents(docs, NEAR).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    gone = groups.filter("doc_id <> component_id").select("doc_id")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    several = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    single = kept.join(several, "doc_id", "left_anti")
+    row = F.struct("text", "lang", "source", "n_chars")
+    repeated = kept.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row"))
+    return single.select(*COLUMNS).unionByName(repeated.select("doc_id", "row.*"))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of strings that an earlier document has go; so does a document of which nothing is left.
+
+    Bytes of a character that was cut in two go as well, and n_chars is counted anew where bytes went.
+    """
+    docs = _documents(docs)
+    judged = suffix_dedup.remove_repeats(docs, keys=("doc_id", "lang", "source", "n_chars"), as_text=True)
+    cut = F.size("removed_starts") > 0
+    text = F.when(F.col("n_bytes") > 0, F.col("kept"))  # nothing told a null text from an empty one
+    return judged.filter(~cut | (F.col("kept") != "")).select(
+        "doc_id", text.alias("text"), "lang", "source",
+        F.when(cut, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
+    )
+
+
+def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go: hits of test items on a twentieth of the words or more. The others stay as they are."""
+    docs = _documents(docs)
+    hits = decontamination.benchmark_hits(docs, table(spark, sf_dir, "benchmark"), keys=tuple(COLUMNS))
+    return decontamination.judged(hits).filter(~F.col("contaminated")).select(*COLUMNS)
 
 
-def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told (``und``: null or without a letter) go."""
+def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, their number, and a check that they decode to the tokens of the text."""
     docs = _documents(docs)
-    found = language_id.predict_language(docs, language_id.train_prototypes(docs), keys=COLUMNS)
-    # the text goes through the prediction once more as a plain column
-    return found
+    encoded = bpe.encode_documents(docs, public_tokenizers.path(TOKENIZER), keys=("doc_id", "lang", "source", "n_chars"))
+    return encoded.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
-STAGES: list = []
+STAGES = [
+    ("language_id", known_language),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("suffix_array_dedup", without_repeats),
+    ("benchmark_decontamination", without_test_items),
+    ("bpe_encoding", as_tokens),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

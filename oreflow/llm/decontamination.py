@@ -160,7 +160,7 @@ def _runs(flags: np.ndarray, edges: np.ndarray, least: int) -> tuple[np.ndarray,
 
 
 def _scan_batches(
-    batches: Iterable[pa.RecordBatch], automaton: SuffixAutomaton, keep_text: bool
+    batches: Iterable[pa.RecordBatch], automaton: SuffixAutomaton, keys: tuple[str, ...]
 ) -> Iterator[pa.RecordBatch]:
     known = automaton.known
     maybe = np.zeros(1 << 16, bool)
@@ -190,20 +190,16 @@ def _scan_batches(
             for i in range(n):
                 spans[i] = _union([*zip(before[0][i], before[1][i]), *spans.get(i, ())])
                 items[i] = items.get(i, set()) | set(before[2][i])
-        kept = [(name, part.column(name)) for name in part.batch.schema.names if name not in _ADDED]
+        kept = [(name, part.column(name)) for name in keys]
         kept += [
             ("n_words", pa.array(np.diff(first).astype(np.int64))),
             ("hit_starts", pa.array([[x for x, _ in spans.get(i, ())] for i in range(n)], pa.list_(pa.int64()))),
             ("hit_ends", pa.array([[y for _, y in spans.get(i, ())] for i in range(n)], pa.list_(pa.int64()))),
             ("item_ids", pa.array([sorted(items.get(i, ())) for i in range(n)], pa.list_(pa.string()))),
         ]
-        kept = [(name, values) for name, values in kept if name != "text" or keep_text]
         yield pa.RecordBatch.from_arrays([values for _, values in kept], [name for name, _ in kept])
 
 
-_ADDED = ("n_words", "hit_starts", "hit_ends", "item_ids")
-
-
 def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, end in sorted(spans):
@@ -230,39 +226,41 @@ def _shards(benchmark: DataFrame, window: int, shard_words: int) -> Iterator[Suf
 
 
 def benchmark_hits(
-    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, shard_words: int = SHARD_WORDS
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, shard_words: int = SHARD_WORDS,
+    keys: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """Per document: its words, the word spans hit by test items, and the items.
+    """``keys`` of every document, its words, the word spans hit by test items, and the items.
 
     ``documents`` needs doc_id and text, ``benchmark`` item_id and text. Spans are
     ``hit_starts`` and ``hit_ends`` (end excluded), sorted and disjoint.
     """
     none = F.array().cast("array<long>")
+    others = [k for k in keys if k != "text"]
     hits = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        *others, F.col("text").cast("string").alias("text"),
         none.alias("hit_starts"), none.alias("hit_ends"), F.array().cast("array<string>").alias("item_ids"),
     )
+    kinds = dict(hits.dtypes)
     shards = _shards(benchmark, window, shard_words)
     automaton = next(shards)
     while automaton is not None:
         following = next(shards, None)
+        kept = keys if following is None else (*others, "text")
         shared = documents.sparkSession.sparkContext.broadcast(automaton)
-        schema = f"doc_id long, {'' if following is None else 'text string, '}{HITS_SCHEMA}"
-        keep_text = following is not None
 
-        def scan(batches, shared=shared, keep_text=keep_text):
-            return _scan_batches(batches, shared.value, keep_text)
+        def scan(batches, shared=shared, kept=kept):
+            return _scan_batches(batches, shared.value, kept)
 
-        hits = hits.mapInArrow(scan, schema)
+        hits = hits.mapInArrow(scan, "".join(f"`{k}` {kinds[k]}, " for k in kept) + HITS_SCHEMA)
         if following is not None:
             hits = checkpointed(hits).drop("n_words")
         automaton = following
     return hits
 
 
-def judged(hits: DataFrame, least_share: float = 0.05) -> DataFrame:
-    """Adds ``n_hit`` and ``contaminated``: any hit, and hits on at least ``least_share`` of the words."""
+def judged(hits: DataFrame, one_in: int = 20) -> DataFrame:
+    """Adds ``n_hit`` and ``contaminated``: any hit, and hits on at least one in ``one_in`` words."""
     n_hit = F.aggregate(F.zip_with("hit_ends", "hit_starts", lambda a, b: a - b), F.lit(0).cast("long"), lambda x, y: x + y)
     return hits.withColumn("n_hit", n_hit).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") >= F.lit(least_share) * F.col("n_words"))
+        "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words"))
     )

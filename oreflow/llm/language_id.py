@@ -137,7 +137,9 @@ def train_prototypes(documents: DataFrame, dimensions: int = DIMENSIONS) -> dict
     return {row["lang"]: np.array(row["bundle"], np.float64) for row in sorted(found, key=lambda r: r["lang"])}
 
 
-def _predict(batches: Iterable[pa.RecordBatch], names: list[str], units: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _predict(
+    batches: Iterable[pa.RecordBatch], keys: tuple[str, ...], names: list[str], units: np.ndarray
+) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         n = len(part)
         best, score = np.full(n, -1), np.zeros(n)
@@ -149,7 +151,7 @@ def _predict(batches: Iterable[pa.RecordBatch], names: list[str], units: np.ndar
                 cosines = (vectors.astype(np.float64) @ units.T) / np.maximum(norms, 1e-300)[:, None]
                 best[low:high] = np.where(some, cosines.argmax(axis=1), -1)
                 score[low:high] = np.where(some, np.clip(cosines.max(axis=1), 0, 1), 0)
-        kept = [(name, part.column(name)) for name in part.batch.schema.names if name != "text"]
+        kept = [(name, part.column(name)) for name in keys]
         kept += [
             ("lang_pred", pa.array([names[i] if i >= 0 else UNKNOWN for i in best.tolist()], pa.string())),
             ("score", pa.array(score)),
@@ -160,13 +162,12 @@ def _predict(batches: Iterable[pa.RecordBatch], names: list[str], units: np.ndar
 def predict_language(documents: DataFrame, prototypes: dict[str, np.ndarray], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keys`` of every document with ``lang_pred`` and ``score``, the cosine from 0 to 1."""
     names = sorted(name for name, vector in prototypes.items() if np.any(vector))
-    units = np.array([prototypes[n] / np.linalg.norm(prototypes[n]) for n in names]).reshape(len(names), -1)
-    if not names:
-        units = np.zeros((0, DIMENSIONS))
+    units = np.array([prototypes[n] / np.linalg.norm(prototypes[n]) for n in names]) if names else np.zeros((0, DIMENSIONS))
     shared = documents.sparkSession.sparkContext.broadcast((names, units))
     rows = documents.select(*[k for k in keys if k != "text"], F.col("text").cast("string").alias("text"))
-    schema = "".join(f"`{k}` {kind}, " for k, kind in rows.dtypes if k != "text") + "lang_pred string, score double"
-    return rows.mapInArrow(lambda batches: _predict(batches, *shared.value), schema)
+    kinds = dict(rows.dtypes)
+    schema = "".join(f"`{k}` {kinds[k]}, " for k in keys) + "lang_pred string, score double"
+    return rows.mapInArrow(lambda batches: _predict(batches, keys, *shared.value), schema)
 
 
 def identify_languages(documents: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:

@@ -305,7 +305,9 @@ def _is_copy(part: Slice) -> np.ndarray:
     return out
 
 
-def _judge(batches: Iterable[pa.RecordBatch], length: int, keep: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+def _judge(
+    batches: Iterable[pa.RecordBatch], length: int, keep: tuple[str, ...], as_text: bool
+) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         n, raw = len(part), part.data.tobytes()
         copy, tags = _is_copy(part), text_hash(part).view(np.int64).tolist()
@@ -327,23 +329,28 @@ def _judge(batches: Iterable[pa.RecordBatch], length: int, keep: tuple[str, ...]
                 kept.append(text[place:a])
                 place = b
             removed.append(runs)
-            rest.append(b"".join([*kept, text[place:]]) if runs else text)
+            kept.append(text[place:])
+            # piece by piece: halves of two characters must not make a third
+            rest.append("".join([x.decode("utf-8", "ignore") for x in kept]) if as_text else b"".join(kept))
         sizes = np.diff(part.offsets)
         columns = [(name, part.column(name)) for name in keep]
         columns += [
             ("n_bytes", pa.array(sizes.astype(np.int64))),
             ("removed_starts", pa.array([[a for a, _ in x] for x in removed], pa.list_(pa.int64()))),
             ("removed_ends", pa.array([[b for _, b in x] for x in removed], pa.list_(pa.int64()))),
-            ("kept", pa.array(rest, pa.binary())),
+            ("kept", pa.array(rest, pa.string() if as_text else pa.binary())),
         ]
         yield pa.RecordBatch.from_arrays([values for _, values in columns], [name for name, _ in columns])
 
 
 def remove_repeats(
     documents: DataFrame, keys: tuple[str, ...] = ("doc_id",), length: int = LENGTH, gram: int = GRAM,
-    bucket_bytes: int = BUCKET_BYTES,
+    bucket_bytes: int = BUCKET_BYTES, as_text: bool = False,
 ) -> DataFrame:
-    """``keys`` of every document, ``n_bytes``, the removed spans (end excluded) and the ``kept`` bytes."""
+    """``keys`` of every document, ``n_bytes``, the removed spans (end excluded) and the ``kept`` bytes.
+
+    With ``as_text`` what is kept is text: the rest of a character that was cut in two goes as well.
+    """
     if not 8 <= gram <= length:
         raise ValueError("8 <= gram <= length")
     others = [k for k in keys if k not in ("doc_id", "text")]
@@ -376,6 +383,6 @@ def remove_repeats(
     judged = named.join(found, "doc_id", "left").unionByName(nameless.select("*", *empty))
     schema = "".join(f"`{k}` {kinds[k]}, " for k in keys)
     return judged.mapInArrow(
-        lambda b: _judge(b, length, keys),
-        schema + "n_bytes long, removed_starts array<long>, removed_ends array<long>, kept binary",
+        lambda b: _judge(b, length, keys, as_text),
+        schema + f"n_bytes long, removed_starts array<long>, removed_ends array<long>, kept {'string' if as_text else 'binary'}",
     )

@@ -41,8 +41,9 @@ def test_like_the_library(spark, library):
 def test_words_share_prefixes(library):
     encoder = TrieEncoder(open(PATH, encoding="utf-8").read())
     words = ["the", "then", "thenou", "thenouing", "a", "an", "and"]
-    for word, ids in encoder.encode_words(words).items():
-        assert ids == library.encode(word, add_special_tokens=False).ids
+    for word, tokens in encoder.encode_words(words).items():
+        encoded = library.encode(word, add_special_tokens=False)
+        assert tokens == encoded.tokens and encoder.decode(encoded.ids) == " ".join(tokens)
 
 
 def test_small_stores(spark, library, monkeypatch):

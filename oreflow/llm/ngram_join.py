@@ -18,7 +18,8 @@ not, so no pair is lost.
 
 Equal sets are one node (a 64-bit hash of the set). Nodes with a common signature
 are candidates. Candidates of a signature first meet the smallest of them only;
-then those that are still in different components meet each other. Each
+of those that are then in different components, the nearest pairs that could join
+the components meet; last, all pairs of components that are still apart. Each
 candidate pair is tested by size and by a parity sketch, whose distance never
 exceeds the sets' distance, and then by the sets themselves.
 
@@ -272,36 +273,59 @@ def _plausible(a_size, b_size, distance, rule: Similarity):
     return (low * rule.denominator >= rule.numerator * high) & (distance <= rule.distance(a_size + b_size))
 
 
-def _cross_pairs(group: pa.Table, rule: Similarity) -> pa.Table:
-    """Plausible pairs between different components under the same signature."""
+def _forest(distance: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Of pairs of components, those that join two trees, nearest first."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kept = []
+    for i in np.argsort(distance, kind="stable").tolist():
+        x, y = root(int(left[i])), root(int(right[i]))
+        if x != y:
+            parent[x] = y
+            kept.append(i)
+    return np.array(kept, np.int64)
+
+
+def _cross_pairs(group: pa.Table, rule: Similarity, forest: bool) -> pa.Table:
+    """Plausible pairs between different components under the same signature: all, or a forest of the nearest."""
     signature, node, component, size = (group.column(c).to_numpy() for c in ("signature", "node", "component", "n_shingles"))
     sketch = np.stack([group.column(f"s{i}").to_numpy() for i in range(4)], axis=1).view(np.uint64)
     order = np.lexsort((component, signature))
-    edges = np.flatnonzero(np.diff(signature[order], prepend=signature[order[0]] - 1, append=signature[order[-1]] + 1)) if len(order) else []
-    left, right = [], []
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(signature[order]) != 0, [True]]))
+    found = []
     for start, end in zip(edges[:-1], edges[1:]):
         rows = order[start:end]
         parts = np.split(rows, np.flatnonzero(np.diff(component[rows])) + 1)
         parts.sort(key=len)
         rest = np.concatenate(parts)  # smaller components first; each meets those after it
-        place = 0
+        place, left, right, far = 0, [], [], []
         for part in parts[:-1]:
             place += len(part)
             others = rest[place:]
-            for low in range(0, len(others), 4096):
-                block = others[low : low + 4096]
-                for row in part.tolist():
-                    distance = np.bitwise_count(sketch[block] ^ sketch[row]).sum(axis=1)
-                    hit = block[_plausible(size[block], size[row], distance, rule)]
-                    left.append(np.full(len(hit), node[row]))
-                    right.append(node[hit])
-    if not left:
-        return pa.table({"b": pa.array([], pa.int64()), "a": pa.array([], pa.int64())})
-    pairs = np.stack([np.concatenate(left), np.concatenate(right)], axis=1)
-    pairs = np.unique(np.stack([pairs.max(axis=1), pairs.min(axis=1)], axis=1), axis=0)
+            for row in part.tolist():
+                distance = np.bitwise_count(sketch[others] ^ sketch[row]).sum(axis=1)
+                near = _plausible(size[others], size[row], distance, rule)
+                left.append(np.full(int(near.sum()), row))
+                right.append(others[near])
+                far.append(distance[near])
+        left, right = (np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (left, right))
+        if forest and len(left):
+            kept = _forest(np.concatenate(far), component[left], component[right])
+            left, right = left[kept], right[kept]
+        found.append(np.stack([np.maximum(node[left], node[right]), np.minimum(node[left], node[right])], axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
     return pa.table({"b": pairs[:, 0].copy(), "a": pairs[:, 1].copy()})
 
 
+def _pairs_of(rule: Similarity, forest: bool):
+    return lambda group: _cross_pairs(group, rule, forest)
+
+
 def _sets(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         values, borders = shingle_sets(part, words)
@@ -366,19 +390,19 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
 
     links = checkpointed(verified(tested))
     components = checkpointed(connected_components(links))
-
-    placed = larger.join(components, "node", "left").select(
-        "signature", "node", F.coalesce("component", "node").alias("component")
-    )
-    open_signatures = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_signatures = open_signatures.filter("low < high").select("signature")
-    unsettled = checkpointed(placed.join(open_signatures, "signature", "left_semi"))
-    if not unsettled.isEmpty():
+    for forest in (True, False):  # first the nearest pairs that could join components, then every pair left
+        placed = larger.join(components, "node", "left").select(
+            "signature", "node", F.coalesce("component", "node").alias("component")
+        )
+        spread = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        unsettled = placed.join(spread.filter("low < high").select("signature"), "signature", "left_semi")
         rows = unsettled.join(nodes.drop("doc_id"), "node").withColumn("bucket", F.shiftright("signature", 32))
-        more = rows.groupBy("bucket").applyInArrow(lambda group: _cross_pairs(group, rule), "b long, a long").distinct()
-        more = checkpointed(verified(more.join(tested, ["b", "a"], "left_anti")))
-        if not more.isEmpty():
-            components = checkpointed(connected_components(links.unionByName(more)))
+        more = rows.groupBy("bucket").applyInArrow(_pairs_of(rule, forest), "b long, a long").distinct()
+        more = checkpointed(more.join(tested, ["b", "a"], "left_anti"))
+        found = checkpointed(verified(more))
+        if not found.isEmpty():
+            links, tested = links.unionByName(found), tested.unionByName(more)
+            components = checkpointed(connected_components(links))
 
     ids = nodes.select("node", "doc_id").join(components, "node")
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, chat_format, decontamination, embedding_dedup, language_id, license_scan, lm_scoring, ngram_join, quality, suffix_dedup
+from oreflow.llm import (
+    bpe, chat_format, decontamination, embedding_dedup, language_id, license_scan, lm_scoring, ngram_join, oracles, quality,
+    suffix_dedup,
+)
 from oreflow.llm.shared import table
 
 
@@ -90,4 +93,9 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_license_scan": license_scan.scan_sql(),
+    "op4_ngram_join": oracles.NGRAM_JOIN,
+    "op6_embedding_dedup": oracles.EMBEDDING_DEDUP,
+    "op8_decontamination": oracles.DECONTAMINATION,
+    "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op10_chat_format": oracles.chat_format(chat_format.START, chat_format.END, PLANTED),
 }

@@ -26,21 +26,19 @@ def index_directory(url: Column) -> Column:
     return F.concat(F.regexp_replace(F.regexp_extract(url, URL_PATH, 1), "/+$", ""), F.lit("/"))
 
 
-def _slashes(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, "/", ""))
-
-
 def is_data_file(href: Column, index_url: Column) -> Column:
     """True for a link to a file of the index's own directory.
 
-    Navigation, sort links, anchors, mail and sub-directories are not files.
-    An absolute path counts only directly inside the directory; any other
-    relative target does.
+    A link has a directory part, up to its last slash, and a name. Without a name,
+    or with a name that says "up", there is no file; a query, an anchor or a mail
+    address is none either. An absolute directory must be the index's own; a
+    relative target is taken to be there.
     """
-    home = index_directory(index_url)
-    here = href.startswith(home) & (_slashes(href) == _slashes(home))
-    unwanted = href.rlike(r"^(\?|#|mailto:)") | href.isin("", "..") | href.endswith("/")
-    return F.when(href.isNull() | unwanted, False).when(href.startswith("/"), here).otherwise(True)
+    directory = F.regexp_extract(href, "^(.*/)?", 1)
+    name = F.substr(href, F.length(directory) + 1)
+    is_file = (name != "") & (name != "..") & ~href.rlike("^([?#]|mailto:)")
+    at_home = ~directory.startswith("/") | (directory == index_directory(index_url))
+    return F.coalesce(is_file & at_home, F.lit(False))
 
 
 def file_name(href: Column) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.functions.numbers import exact_sum
 from oreflow.layouts import QUARTERS, UNKNOWN_SERIES
 from oreflow.operators.quality import Expectation, apply_expectations
 
@@ -40,9 +39,9 @@ def range_stats(df: DataFrame, start: int, end: int, year: str = "year", value:
 
 
 def yearly_sums(obs: DataFrame, periods: list[str] = QUARTERS) -> DataFrame:
-    """Sum per series and year over the given periods; NULLs are skipped, all NULL gives NULL."""
+    """Sum (double) per series and year over the given periods; NULLs are skipped, all NULL gives NULL."""
     quarterly = obs.filter(F.col("period").isin(periods))
-    return quarterly.groupBy("series_id", "year").agg(exact_sum("value").alias("summed_value"))
+    return quarterly.groupBy("series_id", "year").agg(F.sum(F.col("value").cast("double")).alias("summed_value"))
 
 
 def _labelled_best(best: DataFrame, dim: DataFrame) -> DataFrame:
@@ -56,15 +55,20 @@ def _labelled_best(best: DataFrame, dim: DataFrame) -> DataFrame:
     return apply_expectations(answer, BEST_PERIOD_RULES).valid
 
 
-def best_period(obs: DataFrame, dim: DataFrame, periods: list[str] = QUARTERS) -> DataFrame:
-    """The year with the largest sum per series; of equal years the earliest."""
-    order = Window.partitionBy("series_id").orderBy(F.desc_nulls_last("summed_value"), F.asc("year"))
-    ranked = yearly_sums(obs, periods).withColumn("rn", F.row_number().over(order))
-    return _labelled_best(ranked.filter("rn = 1"), dim)
+def first_per_key(df: DataFrame, keys: list[str], *order) -> DataFrame:
+    """One row per key, the first in the order. Spark keeps one row per key and task before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
+
 
+def best_period_ranked(obs: DataFrame, dim: DataFrame, periods: list[str] = QUARTERS) -> DataFrame:
+    """The answer of ``best_period`` by a rank within each series."""
+    sums = yearly_sums(obs, periods)
+    return _labelled_best(first_per_key(sums, ["series_id"], F.desc_nulls_last("summed_value"), F.asc("year")), dim)
 
-def best_period_by_max(obs: DataFrame, dim: DataFrame, periods: list[str] = QUARTERS) -> DataFrame:
-    """The same answer from one more aggregate instead of a window.
+
+def best_period(obs: DataFrame, dim: DataFrame, periods: list[str] = QUARTERS) -> DataFrame:
+    """The year with the largest sum per series; of equal years the earliest.
 
     A struct compares field by field and NULL is smallest, so the maximum of
     (sum, -year) is the largest sum at its earliest year.
@@ -80,4 +84,4 @@ def series_context(obs: DataFrame, context: DataFrame, series_id: str, period: s
     """One series and period by year, with the context value of that year where there is one."""
     one = obs.filter((F.col("series_id") == series_id) & (F.col("period") == period)).select("year", "value")
     joined = one.join(context.select("year", "population"), "year", "left").select("year", "value", "population")
-    return apply_expectations(joined, SERIES_CONTEXT_RULES).valid.orderBy("year")
+    return apply_expectations(joined, SERIES_CONTEXT_RULES).valid

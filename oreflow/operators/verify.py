@@ -5,53 +5,71 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-COPIES_PER_TASK = 1_000_000
+COPIES_PER_BLOCK = 100_000
 
 
-def _signed_counts(left: DataFrame, right: DataFrame, digits: int | None = None) -> DataFrame:
-    """Each distinct row of either side with its copies left minus its copies right."""
-    def side(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(*[_comparable(df, c, digits) for c in left.columns], F.lit(sign).alias("_sign"))
-
+def _check_columns(left: DataFrame, right: DataFrame) -> None:
     if sorted(left.columns) != sorted(right.columns):
         raise ValueError(f"columns differ: {left.columns} and {right.columns}")
-    return side(left, 1).unionByName(side(right, -1)).groupBy(*left.columns).agg(F.sum("_sign").alias("_copies"))
 
 
-def _comparable(df: DataFrame, name: str, digits: int | None) -> Column:
-    if digits and dict(df.dtypes)[name] in ("double", "float"):
-        return F.format_string(f"%.{digits - 1}e", F.col(name)).alias(name)
-    return F.col(name)
+def _signed_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Each distinct row of either side with its copies left minus its copies right."""
+    _check_columns(left, right)
+    sides = left.withColumn("_sign", F.lit(1)).unionByName(right.withColumn("_sign", F.lit(-1)))
+    return sides.groupBy(*[F.col(f"`{c}`") for c in left.columns]).agg(F.sum("_sign").alias("_copies"))
+
+
+def _close(x: Column, y: Column, tolerance: float) -> Column:
+    larger = F.greatest(F.abs(x), F.abs(y))
+    near = (F.abs(x - y) <= F.lit(tolerance) * larger) & (larger < float("inf"))  # NaN is larger still
+    return x.eqNullSafe(y) | F.coalesce(near, F.lit(False))
 
 
-def diff_count(left: DataFrame, right: DataFrame, digits: int | None = None) -> DataFrame:
+def diff_count(left: DataFrame, right: DataFrame, tolerance: float | None = None) -> DataFrame:
     """Rows that occur more often on one side than on the other: one row, one number, one pass.
 
-    ``digits`` compares floating columns to that many significant digits.
-    Means and deviations need it: their last bit depends on partition order.
+    With a ``tolerance``, floating columns may differ by that share of the larger
+    value; sums, means and deviations need it, as their last bits depend on
+    partition order. Rows that are alike in all other columns are then compared by
+    their number and by the smallest and largest of each floating column.
     """
-    differing = F.coalesce(F.sum(F.abs("_copies")), F.lit(0)).cast("bigint")
-    return _signed_counts(left, right, digits).agg(differing.alias("diff_row_count"))
+    floating = [c for c, kind in left.dtypes if tolerance and kind in ("double", "float")]
+    if not floating:
+        differing = F.coalesce(F.sum(F.abs("_copies")), F.lit(0)).cast("bigint")
+        return _signed_counts(left, right).agg(differing.alias("diff_row_count"))
+    _check_columns(left, right)
+    sides = left.withColumn("_left", F.lit(True)).unionByName(right.withColumn("_left", F.lit(False)))
+    facts = [F.count_if("_left").alias("_l"), F.count_if(~F.col("_left")).alias("_r")]
+    pairs = []
+    for i, name in enumerate(floating):
+        for j, (fold, here) in enumerate((f, h) for f in (F.min, F.max, F.count) for h in (True, False)):
+            facts.append(fold(F.when(F.col("_left") == here, F.col(f"`{name}`")).cast("double")).alias(f"_f{i}_{j}"))
+        pairs += [_close(F.col(f"_f{i}_{j}"), F.col(f"_f{i}_{j + 1}"), tolerance) for j in (0, 2, 4)]
+    groups = sides.groupBy(*[F.col(f"`{c}`") for c in left.columns if c not in floating]).agg(*facts)
+    alike = F.lit(True)
+    for pair in pairs:
+        alike = alike & pair
+    differing = F.when((F.col("_l") == F.col("_r")) & ~alike, F.col("_l") + F.col("_r")).otherwise(F.abs(F.col("_l") - F.col("_r")))
+    return groups.agg(F.coalesce(F.sum(differing), F.lit(0)).cast("bigint").alias("diff_row_count"))
 
 
 def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` that ``right`` lacks, as often as it lacks them.
 
-    A row missing very many times is written out by many tasks: its copies are
-    cut into blocks, and the blocks are spread before they are unfolded. All
-    other rows are unfolded where they are.
+    The missing copies of a row are cut into blocks, and the blocks are dealt over a
+    stated number of partitions before they are unfolded, so no task writes more
+    than its share of blocks.
     """
     missing = _signed_counts(left, right).filter("_copies > 0")
-    few = missing.filter(F.col("_copies") <= COPIES_PER_TASK).select(*left.columns, F.col("_copies").alias("_n"))
-    many = missing.filter(F.col("_copies") > COPIES_PER_TASK)
-    last_block = F.floor((F.col("_copies") - 1) / COPIES_PER_TASK)
-    blocks = many.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
-    left_over = F.col("_copies") - F.col("_block") * COPIES_PER_TASK
-    spread = blocks.repartition(*[f"`{c}`" for c in left.columns], "_block").select(
-        *left.columns, F.least(F.lit(COPIES_PER_TASK).cast("bigint"), left_over).alias("_n")
-    )
-    copies = F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int")))
-    return few.unionByName(spread).select(*left.columns, copies.alias("_copy")).drop("_copy")
+    size = F.lit(COPIES_PER_BLOCK).cast("bigint")
+    last_block = F.floor((F.col("_copies") - 1) / size)
+    blocks = missing.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.repartition(parts, *[F.col(f"`{c}`") for c in left.columns], "_block")
+    count = F.least(size, F.col("_copies") - F.col("_block") * size).cast("int")
+    copies = F.explode(F.array_repeat(F.lit(1), count)).alias("_copy")
+    return dealt.select(*[F.col(f"`{c}`") for c in left.columns], copies).drop("_copy")
 
 
 def overlap_audit(current: DataFrame, all_data: DataFrame, keys: list[str]) -> DataFrame:

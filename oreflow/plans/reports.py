@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.functions.numbers import exact_sum
-
 
 def trend(context: DataFrame) -> DataFrame:
     return context.select("year", F.col("value").alias("productivity_value"), "population").orderBy("year")
@@ -24,7 +22,7 @@ def best_by_value(best: DataFrame) -> DataFrame:
 
 
 def best_by_label(best: DataFrame) -> DataFrame:
-    return best.groupBy("series_label").agg(exact_sum("best_year_summed_value").alias("best_year_summed_value"))
+    return best.groupBy("series_label").agg(F.sum("best_year_summed_value").alias("best_year_summed_value"))
 
 
 def series_range(context: DataFrame, start: int, end: int) -> DataFrame:

@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreflow.functions.names import resolve_column, sanitize_names
-from oreflow.functions.numbers import exact_sum, exact_sum_sql
 from oreflow.operators.dedup import dedup_latest, latest_snapshot
 from oreflow.plans.medallion import silver_observations, silver_population
 
@@ -92,27 +91,3 @@ def test_sanitize(spark):
     assert sanitize_names(df).columns == ["series_id", "a_b", "x____________y", "Plain"]
     with pytest.raises(ValueError, match="collide"):
         sanitize_names(df.toDF("a b", "a-b", "c", "d"))
-
-
-@pytest.mark.parametrize(
-    "values, total",
-    [
-        ([0.1] * 10, 1.0), ([None, 2.0], 2.0), ([None], None), ([], None), ([-0.1, -0.2, 0.3], 0.0), ([-1.5, -2.25], -3.75),
-        ([0.999999, 0.000001], 1.0), ([999999.999999, 0.000001], 1e6), ([1e6, 0.5], 1000000.5), ([1e15, 0.25, -1e15], 0.25),
-        ([-2e6, -0.25], -2000000.25), ([1.0, float("inf")], float("inf")), ([float("-inf")], float("-inf")),
-        ([1.0, float("nan")], None),
-    ],
-)
-def test_exact_sum(spark, values, total):
-    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
-    column = df.agg(exact_sum("v")).first()[0]
-    text = spark.sql(f"SELECT {exact_sum_sql('v')} FROM {{df}}", df=df).first()[0]
-    if values and values[-1] != values[-1]:
-        assert column != column and text != text  # NaN
-    else:
-        assert column == text == total
-
-
-def test_exact_sum_of_other_types(spark):
-    df = spark.sql("SELECT * FROM VALUES (1, 2.50BD, 3L), (2, NULL, 4L) AS t(i, d, l)")
-    assert tuple(df.agg(exact_sum("i"), exact_sum("d"), exact_sum("l")).first()) == (3.0, 2.5, 7.0)

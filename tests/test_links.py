@@ -2,53 +2,48 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.links import extract_links, file_name, first_links, index_directory, is_data_file
 
-INDEX = "https://files.example.org/pub/time.series/pr/"
+INDEX = "https://data.example.net/archive/weather/stations/"
+HOME = "/archive/weather/stations/"
 
 LISTING = """
-<html><body>
-<A HREF="/pub/time.series/pr/">parent</A> <a href="?C=N;O=D">by name</a>
-<a href="pr.class">c</a> <a href="pr.data.0.Current">d</a> <a href='pr.series'>s</a>
-<a href=/pub/time.series/pr/pr.txt>t</a> <a href=pr.class>again</a>
-</body></html>
+<table><tr><td><a href="/archive/weather/">Up</a></td><td><A HREF="?sort=size">Size</A></td></tr>
+<tr><td><a href='alpha.csv'>alpha</a></td><td><a href="readings.2020.tsv">2020</a></td></tr>
+<tr><td><a href=/archive/weather/stations/beta.csv>beta</a></td><td><a href=alpha.csv>alpha once more</a></td></tr>
+</table>
 """
 
 
-def accepted(spark, hrefs, index=INDEX):
-    df = spark.createDataFrame([(i, h) for i, h in enumerate(hrefs)], "i INT, href STRING")
-    judged = df.select("i", is_data_file(F.col("href"), F.lit(index)).alias("ok")).orderBy("i")
-    return [r.ok for r in judged.collect()]
+def judged(spark, cases, index=INDEX):
+    df = spark.createDataFrame([(h,) for h in cases], "href STRING")
+    return {r.href: r.ok for r in df.select("href", is_data_file(F.col("href"), F.lit(index)).alias("ok")).collect()}
 
 
-def test_files_of_the_directory_are_accepted(spark):
-    hrefs = ["pr.series", "pr.data.0.Current", "/pub/time.series/pr/pr.series", "https://elsewhere.example.org/x"]
-    assert accepted(spark, hrefs) == [True] * 4
-
-
-def test_everything_else_is_rejected(spark):
-    hrefs = [
-        "../", "..", "?C=N;O=D", "?C=M;O=A", "subdir/", "/pub/time.series/pr/", "#top", "mailto:a@example.org", "", None,
-        "/pub/time.series/", "/pub/time.series/cu/cu.series", "/pub/time.series/pr/sub/pr.series", "/pr.series",
-    ]
-    assert accepted(spark, hrefs) == [False] * len(hrefs)
+def test_each_kind_of_link(spark):
+    kinds = {
+        "alpha.csv": True, HOME + "alpha.csv": True, "http://mirror.example.net/x.csv": True,  # name, own path, other host
+        "": False, None: False, "..": False, "../": False,  # nothing, up
+        "?sort=name": False, "?sort=date&desc": False, "#notes": False, "mailto:desk@example.net": False,
+        "yearly/": False, HOME: False, "/archive/": False,  # directories
+        "/alpha.csv": False, HOME + "yearly/a.csv": False, "/archive/weather/ships/a.csv": False,  # files elsewhere
+    }
+    assert judged(spark, kinds) == kinds
 
 
 def test_index_without_slash_query_or_path(spark):
     urls = [INDEX, INDEX[:-1], INDEX + "?x=1", "https://a.example.org", "https://a.example.org//", "not a url"]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i INT, u STRING")
     got = [r[0] for r in df.orderBy("i").select(index_directory(F.col("u"))).collect()]
-    assert got == ["/pub/time.series/pr/"] * 3 + ["/"] * 3
+    assert got == [HOME] * 3 + ["/"] * 3
 
 
 def test_extraction_keeps_order_and_strips_quotes(spark):
-    pages = spark.createDataFrame([(1, INDEX, LISTING), (2, INDEX, "no links"), (3, INDEX, None)], "page_id INT, url STRING, html STRING")
+    pages = spark.createDataFrame([(7, INDEX, LISTING), (8, INDEX, "plain text"), (9, INDEX, None)], "page_id INT, url STRING, html STRING")
     links = extract_links(pages)
-    assert [r.href for r in links.orderBy("page_id", "pos").collect()] == [
-        "/pub/time.series/pr/", "?C=N;O=D", "pr.class", "pr.data.0.Current", "pr.series", "/pub/time.series/pr/pr.txt", "pr.class",
-    ]
-    files = links.filter(is_data_file(F.col("href"), F.col("url")))
-    assert [r.name for r in first_links(files).orderBy("first_pos").collect()] == [
-        "pr.class", "pr.data.0.Current", "pr.series", "pr.txt",
+    assert [(r.page_id, r.href) for r in links.orderBy("page_id", "pos").collect()] == [
+        (7, h) for h in ("/archive/weather/", "?sort=size", "alpha.csv", "readings.2020.tsv", HOME + "beta.csv", "alpha.csv")
     ]
+    files = first_links(links.filter(is_data_file(F.col("href"), F.col("url"))))
+    assert {(r.name, r.first_pos) for r in files.collect()} == {("alpha.csv", 2), ("readings.2020.tsv", 3), ("beta.csv", 4)}
 
 
 def test_file_name_of_relative_target_is_kept(spark):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from oreflow.operators import verify
 
@@ -31,11 +32,21 @@ def test_empty_sides(spark):
     assert verify.diff_count(empty, spark.createDataFrame([("x",)], "k STRING")).first()[0] == 1
 
 
-def test_digits_hide_the_last_bit_only(spark):
-    left, right = (spark.createDataFrame([(v,)], "v DOUBLE") for v in (0.1 + 0.2, 0.3))
-    assert verify.diff_count(left, right).first()[0] == 2
-    assert verify.diff_count(left, right, digits=13).first()[0] == 0
-    assert verify.diff_count(left, spark.createDataFrame([(0.31,)], "v DOUBLE"), digits=13).first()[0] == 2
+@pytest.mark.parametrize("x, y, alike", [
+    (0.1 + 0.2, 0.3, True), (1.0000000000005, 1.0000000000005002, True), (0.0, -0.0, True), (1e300, 1.0000000001e300, True),
+    (float("nan"), float("nan"), True), (float("inf"), float("inf"), True), (None, None, True),
+    (0.3, 0.31, False), (None, 0.0, False), (float("nan"), 1.0, False), (float("inf"), 1e300, False), (1e-300, 2e-300, False),
+])
+def test_tolerance_hides_the_last_bits_only(spark, x, y, alike):
+    left, right = (spark.createDataFrame([("k", v), ("other", 1.0)], "k STRING, v DOUBLE") for v in (x, y))
+    assert verify.diff_count(left, right, tolerance=1e-9).first()[0] == (0 if alike else 2)
+
+
+def test_tolerance_counts_rows_that_one_side_lacks(spark):
+    left = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0)], "k STRING, v DOUBLE")
+    right = spark.createDataFrame([("a", 1.0), ("a", 2.0 + 1e-12)], "k STRING, v DOUBLE")
+    assert verify.diff_count(left, right, tolerance=1e-9).first()[0] == 1
+    assert verify.diff_count(left.select("v"), right.select("v"), tolerance=1e-9).first()[0] == 1
 
 
 def test_except_all_equals_the_builtin(sides, rows):
@@ -45,11 +56,13 @@ def test_except_all_equals_the_builtin(sides, rows):
 
 
 def test_many_copies_are_written_in_blocks(spark, rows, monkeypatch):
-    monkeypatch.setattr(verify, "COPIES_PER_TASK", 10)
-    left = spark.range(57).selectExpr("'hot' AS k").unionByName(spark.createDataFrame([("cold",)] * 10, "k STRING"))
+    monkeypatch.setattr(verify, "COPIES_PER_BLOCK", 10)
+    left = spark.range(2057).selectExpr("'hot' AS k").unionByName(spark.createDataFrame([("cold",)] * 10, "k STRING"))
     right = spark.range(4).selectExpr("'hot' AS k")
     got = verify.except_all(left, right)
-    assert {r["k"]: r["count"] for r in got.groupBy("k").count().collect()} == {"hot": 53, "cold": 10}
+    assert {r["k"]: r["count"] for r in got.groupBy("k").count().collect()} == {"hot": 2053, "cold": 10}
+    tasks = {r[0]: r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()}
+    assert len(tasks) == 4 and max(tasks.values()) < 0.5 * 2063
 
 
 def test_overlap(spark, rows):

@@ -268,7 +268,8 @@ def bronze_schema_drift(spark, sf_dir):
         # header lines start with the first column's name, data lines never do
         row_widths(spark, path, skip_header_of="series_id").withColumn("file", F.lit(name)) for name, path in files.items()
     ]
-    drift = header_drift(spark, files, layouts.OBSERVATION_COLUMNS)
+    # part files with the same header show as one
+    drift = header_drift(spark, files, layouts.OBSERVATION_COLUMNS).drop("part_file").distinct()
     widths = widths[0].unionByName(widths[1]).withColumnRenamed("lines", "data_lines")
     return drift.join(widths, "file", "left")
 

@@ -1,24 +1,39 @@
 """Landing a folder of plainly named files as versioned snapshots.
 
 The folder stands for what a downloader left behind: files that are revised
-under the same name. Each run lists it, compares with the manifest, lands what
+under the same name. Each run lists it once, compares with the manifest, lands what
 is new or changed and updates the manifest. Files that disappear stay landed.
+
+The listing is stored before anything is copied, and the manifest records what it
+said, so a file that is revised meanwhile is seen as changed by the next run. A
+file that cannot be landed whole is refused: an envelope that is not valid, or
+rows with more fields than the header. It stays out of the manifest, the others go
+on, and the run raises at its end.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow import layouts
+from oreflow.operators.content import envelope_status
 from oreflow.operators.manifest import MANIFEST_SCHEMA, merge_manifest, plan_pull, run_summary, to_pull
-from oreflow.operators.quality import apply_expectations
+from oreflow.operators.quality import Expectation, apply_expectations
+from oreflow.session import work_dir
 from oreflow.sinks.landing import land_snapshot
 from oreflow.sinks.publish import publish, published_version, read_published
-from oreflow.sources.delimited import read_delimited
+from oreflow.sources.delimited import file_headers, read_delimited, row_widths
 from oreflow.sources.listing import list_files
 
 
+# the manifest's columns are NOT NULL: a file format keeps no such constraint, a fail rule does
+MANIFEST_RULES = [
+    Expectation(f"{column.split()[0]}_not_null", f"{column.split()[0]} IS NOT NULL", "fail") for column in MANIFEST_SCHEMA.split(", ")
+]
+
+
 def load_manifest(spark: SparkSession, root: str) -> DataFrame:
     if published_version(spark, root) is None:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
@@ -28,22 +43,62 @@ def load_manifest(spark: SparkSession, root: str) -> DataFrame:
 def _snapshot(spark: SparkSession, path: str, name: str) -> tuple[DataFrame, str]:
     """Rows of a raw file and the format they are landed in."""
     if name.endswith(".json"):
-        return spark.read.option("wholetext", "true").text(path), "text"
+        return spark.read.text(path, wholetext=True), "text"
     if name == layouts.NOTES_FILE:
         return spark.read.option("lineSep", "\n").text(path), "text"
     return read_delimited(spark, path), "delimited"
 
 
+class LandingFailed(RuntimeError):
+    """Some files were not landed. ``summary`` has the counts of the run, ``failed`` names and reasons."""
+
+    def __init__(self, summary: dict[str, int], failed: list[tuple[str, str]]):
+        super().__init__(f"{len(failed)} files were not landed: {failed[:3]}")
+        self.summary, self.failed = summary, failed
+
+
+def _fault(spark: SparkSession, path: str, name: str) -> str | None:
+    """Why a file must not be landed, or None."""
+    if name.endswith(".json"):
+        status = spark.read.text(path, wholetext=True).select(envelope_status(F.col("value")).alias("status"))
+        bad = status.filter("status <> 'ok'").first()
+        return f"envelope is {bad['status']}" if bad else None
+    if name == layouts.NOTES_FILE:
+        return None
+    header = file_headers(spark, path).select(F.size(F.split("line", "\t")).alias("fields")).first()
+    widest = row_widths(spark, path).agg(F.max("fields")).first()[0]
+    if header and widest and widest > header["fields"]:
+        return f"a row has {widest} fields, the header {header['fields']}"
+    return None
+
+
 def land_folder(spark: SparkSession, raw: str, landing: str, manifest_root: str) -> DataFrame:
-    """One run. Returns its summary: files seen, current, landed, removed."""
+    """One run. Returns its summary: files seen, current, landed, failed, removed.
+
+    One job or more per file, one after the other: meant for a folder of some
+    large files, not for millions of small ones.
+    """
     manifest = load_manifest(spark, manifest_root)
-    plan = plan_pull(list_files(spark, raw), manifest)
+    stored = work_dir(spark, "pull-plan")
+    plan_pull(list_files(spark, raw), manifest).write.parquet(stored)
+    plan = spark.read.parquet(stored)
     pulled = to_pull(plan)
-    # one entry per logical file of the folder, each of which may be large
+    failed: list[tuple[str, str]] = []
     for row in pulled.select("file_name").toLocalIterator():
-        rows, kind = _snapshot(spark, f"{raw}/{row.file_name}", row.file_name)
-        land_snapshot(rows, landing, row.file_name, kind=kind)
-    summary = run_summary(plan)
-    updates = pulled.withColumn("ingested_at", F.current_timestamp())
-    publish(apply_expectations(merge_manifest(manifest, updates), []), manifest_root)
+        name, path = row.file_name, f"{raw}/{row.file_name}"
+        try:
+            fault = _fault(spark, path, name)
+            if fault:
+                failed.append((name, fault))
+                continue
+            rows, kind = _snapshot(spark, path, name)
+            land_snapshot(rows, landing, name, kind=kind)
+        except PySparkException as error:  # one file's trouble must not keep the others out
+            failed.append((name, str(error)[:300]))
+    bad = spark.createDataFrame(failed, "file_name STRING, reason STRING")
+    updates = pulled.join(bad, "file_name", "left_anti").withColumn("ingested_at", F.current_timestamp())
+    publish(apply_expectations(merge_manifest(manifest, updates), MANIFEST_RULES), manifest_root)
+    summary = run_summary(plan, bad)
+    if failed:
+        raise LandingFailed(summary.first().asDict(), failed)
     return summary

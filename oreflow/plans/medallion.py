@@ -19,7 +19,7 @@ from oreflow.operators.quality import Checked, Expectation, apply_expectations,
 from oreflow.plans import questions_sql
 from oreflow.sinks.landing import snapshot_of
 from oreflow.sinks.publish import publish, read_published
-from oreflow.sources.delimited import read_delimited, stream_delimited
+from oreflow.sources.delimited import require_headers, stream_delimited
 from oreflow.sources.documents import stream_envelopes, stream_lines
 from oreflow.sources.lineage import with_lineage
 from oreflow.streaming.ingest import await_all, start_available_now
@@ -174,14 +174,11 @@ def run_bronze(house: Warehouse, landing: str, population_landing: str) -> None:
     def versioned(folder: str, name: str) -> str:
         return f"{folder}/{name}__*"
 
-    def delimited(name: str, columns: list[str]) -> DataFrame:
+    def delimited(name: str, columns: list[str] | None = None) -> DataFrame:
+        # columns go by place in a stream: the header of every file must say the same names
+        columns = require_headers(spark, versioned(landing, name), columns)
         return versioned_lineage(stream_delimited(spark, versioned(landing, name), layouts.text_schema(columns)))
 
-    def lookup(name: str) -> DataFrame:
-        # a stream needs its schema beforehand: the names come from a file's own header
-        header = read_delimited(spark, versioned(landing, name)).columns
-        return delimited(name, [column.strip() for column in header])
-
     envelopes = stream_envelopes(spark, versioned(population_landing, layouts.POPULATION_FILE), layouts.POPULATION_RECORD)
     lineage = ["_ingested_at", "_source_file", VERSION]
     records = versioned_lineage(envelopes).select(F.explode("data").alias("record"), *lineage).select("record.*", *lineage)
@@ -191,7 +188,7 @@ def run_bronze(house: Warehouse, landing: str, population_landing: str) -> None:
         "bronze_bls_series": (delimited(layouts.SERIES_FILE, layouts.SERIES_COLUMNS), BRONZE_SERIES_RULES),
         "bronze_bls_pr_txt": (versioned_lineage(stream_lines(spark, versioned(landing, layouts.NOTES_FILE))), []),
         "bronze_population": (records, BRONZE_POPULATION_RULES),
-        **{"bronze_bls_" + name.replace(".", "_"): (lookup(name), []) for name in layouts.LOOKUP_FILES},
+        **{"bronze_bls_" + name.replace(".", "_"): (delimited(name), []) for name in layouts.LOOKUP_FILES},
     }
     await_all([house.append(name, apply_expectations(scan, rules).valid) for name, (scan, rules) in tables.items()])
 

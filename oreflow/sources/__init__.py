@@ -1,10 +1,12 @@
-from oreflow.sources.delimited import header_drift, read_delimited, read_lookups, row_widths, stream_delimited
+from oreflow.sources.delimited import (
+    file_headers, header_drift, read_delimited, read_lookups, require_headers, row_widths, stream_delimited,
+)
 from oreflow.sources.documents import explode_records, read_envelopes, read_lines, stream_envelopes, stream_lines
 from oreflow.sources.listing import list_files
 from oreflow.sources.lineage import with_lineage
 
 __all__ = [
-    "header_drift", "read_delimited", "read_lookups", "row_widths", "stream_delimited",
+    "file_headers", "header_drift", "read_delimited", "read_lookups", "require_headers", "row_widths", "stream_delimited",
     "explode_records", "read_envelopes", "read_lines", "stream_envelopes", "stream_lines",
     "list_files", "with_lineage",
 ]

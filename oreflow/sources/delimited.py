@@ -50,35 +50,50 @@ def read_lookups(
     }
 
 
+def file_headers(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """(part_file, line): the first line of every file, from the first block of each."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    lines = reader.text(path).select(
+        F.col("_metadata.file_path").alias("part_file"), F.col("_metadata.file_block_start").alias("_start"), "value"
+    )
+    first = lines.filter("_start = 0").withColumn("_at", F.monotonically_increasing_id())
+    return first.groupBy("part_file").agg(F.min_by("value", "_at").alias("line"))
+
+
+def require_headers(spark: SparkSession, path: str | list[str], expected: list[str] | None = None, sep: str = "\t") -> list[str]:
+    """The trimmed column names that all files under ``path`` have; stops where one differs from the others or from ``expected``."""
+    names = F.transform(F.split("line", sep), lambda name: F.trim(name))
+    found = [row["names"] for row in file_headers(spark, path).select(names.alias("names")).distinct().limit(3).collect()]
+    if expected is not None:
+        found = [expected, *[names for names in found if names != expected]]
+    if len(found) != 1:
+        raise ValueError(f"headers of {path} differ: {found}")
+    return found[0]
+
+
 def header_drift(spark: SparkSession, files: dict[str, str], expected: list[str], sep: str = "\t") -> DataFrame:
-    """Compare the header line of each named file with the expected columns.
+    """Compare the header line of every part file of each named file with the expected columns.
 
-    One row per file and column: ``ok``, ``moved``, ``missing`` or ``extra``,
-    positions counting from 1. Each file is opened for its first line only. A
-    strict read checks every part file while the data itself is read.
+    One row per part file and column: ``ok``, ``moved``, ``missing`` or ``extra``,
+    positions counting from 1.
     """
     heads = reduce(
         DataFrame.unionByName,
-        [
-            spark.read.text(path).limit(1).select(F.lit(name).alias("file"), F.col("value").alias("line"))
-            for name, path in files.items()
-        ],
-    )
-    actual = heads.select("file", F.posexplode(F.split("line", sep)).alias("_pos", "_name")).select(
-        "file", F.trim("_name").alias("column_name"), (F.col("_pos") + 1).alias("actual_position")
+        [file_headers(spark, path).withColumn("file", F.lit(name)) for name, path in files.items()],
     )
-    wanted = spark.createDataFrame(
-        [(file, name, position) for file in files for position, name in enumerate(expected, 1)],
-        "file STRING, column_name STRING, expected_position INT",
+    actual = heads.select("file", "part_file", F.posexplode(F.split("line", sep)).alias("_pos", "_name")).select(
+        "file", "part_file", F.trim("_name").alias("column_name"), (F.col("_pos") + 1).alias("actual_position")
     )
+    columns = F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(i).alias("expected_position")) for i, n in enumerate(expected, 1)])
+    wanted = heads.select("file", "part_file", F.inline(columns))
     status = (
         F.when(F.col("expected_position").isNull(), "extra")
         .when(F.col("actual_position").isNull(), "missing")
         .when(F.col("expected_position") != F.col("actual_position"), "moved")
         .otherwise("ok")
     )
-    return wanted.join(actual, ["file", "column_name"], "full_outer").select(
-        "file", "column_name", "expected_position", "actual_position", status.alias("status")
+    return wanted.join(actual, ["file", "part_file", "column_name"], "full_outer").select(
+        "file", "part_file", "column_name", "expected_position", "actual_position", status.alias("status")
     )
 
 

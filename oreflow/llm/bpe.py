@@ -3,11 +3,13 @@
 For tokenizer files of the kind "BPE with word ends": NFC, white space, lower
 case; a pattern that cuts words; byte-level symbols; merges with a word-end
 suffix on the last symbol. A text is cut at white space (the pattern never
-crosses it), and the different words that a task has not met yet go into a trie.
-A depth-first walk gives every node, that is every shared prefix, the last token
-of its encoding: the one vocabulary entry that ends the prefix and may follow the
-last token of the prefix before it. Each prefix is computed once, whatever the
-number of words that begin with it; a word's tokens are read off the path.
+crosses it), and the different words that a task has not met yet form a trie. It
+is held as the sorted words: going through them is the depth-first walk, and what
+a word has in common with the one before is the part of the path that both share.
+The walk gives every node, that is every prefix, the last token of its encoding:
+the one vocabulary entry that ends the prefix and may follow the last token of
+the prefix before it. Each prefix is computed once, whatever the number of words
+that begin with it; a word's tokens are read off its path.
 
 Two tokens may follow one another if the merges turn their joined symbols back
 into these two; a sequence is the BPE encoding if that holds for all neighbours.
@@ -27,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 from oreflow.llm.textbytes import slices
 
 MAX_FILE_BYTES = 64 << 20
-CACHED_CHUNKS = 200_000
+CACHED_CHUNKS = 300_000
 MAX_PAIRS = 1_000_000
 #: What the files' patterns mean by white space (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -79,10 +82,11 @@ class TrieEncoder:
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.splitter = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.added, key=len, reverse=True)) + ")")
         self.bytes = byte_symbols()
-        self.longest = max(len(token.removesuffix(self.suffix)) for token in self.vocab)
+        #: every end of a token: a string that is none ends no longer token
+        self.tails = {token[i:] for token in self.vocab for i in range(1, len(token))}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.alone: dict[str, bool] = {}
-        self.known_words: dict[str, list[int]] = {}
+        self.known_words: dict[str, tuple[bytes, str]] = {}
         self.chunks: dict[str, tuple[bytes, str]] = {}
 
     def _symbols(self, token: str) -> list[str]:
@@ -117,50 +121,47 @@ class TrieEncoder:
             self.pairs[(left, right)] = found
         return found
 
-    def _last_token(self, path: str, lasts: list[str], end: str) -> str:
-        """The last token of the path's encoding, given the last tokens of its prefixes."""
-        size = len(path)
-        for start in range(max(0, size - self.longest), size):
-            token = path[start:] + end
-            if token in self.vocab and self._may_stand(token) and (not start or self._may_follow(lasts[start], token)):
+    def _last_token(self, path: str, size: int, lasts: list[str], end: str) -> str:
+        """The last token of the encoding of the path's first ``size`` symbols, given those of its shorter prefixes."""
+        vocab, tails, found = self.vocab, self.tails, []
+        for start in range(size - 1, -1, -1):
+            tail = path[start:size] + end
+            if tail in vocab:
+                found.append((start, tail))
+            if tail not in tails:
+                break
+        for start, token in reversed(found):
+            if self._may_stand(token) and (not start or self._may_follow(lasts[start], token)):
                 return token
-        raise ValueError(f"no token ends {path!r}")
-
-    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Encodings of different words, each a string of byte symbols."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for symbol in word:
-                node = node.setdefault(symbol, {})
-            node[""] = word
-        out: dict[str, list[int]] = {}
+        raise ValueError(f"no token ends {path[:size]!r}")
+
+    def encode_words(self, words: Iterable[str]) -> dict[str, list[str]]:
+        """Tokens of different words, each a string of byte symbols."""
+        out: dict[str, list[str]] = {}
         lasts = [""]  # the last token of the path's prefix of each length
-        stack: list[tuple[str, dict]] = [("", root)]
-        while stack:
-            path, node = stack.pop()
-            if path:
-                del lasts[len(path) :]
-                lasts.append(self._last_token(path, lasts, "") if len(node) > ("" in node) else "")
-                word = node.get("")
-                if word is not None:
-                    token, place, ids = self._last_token(path, lasts, self.suffix), len(path), []
-                    size = len(token) - len(self.suffix)
-                    while True:
-                        ids.append(self.vocab[token])
-                        place -= size
-                        if not place:
-                            break
-                        token = lasts[place]
-                        size = len(token)
-                    out[word] = ids[::-1]
-            for symbol, child in node.items():
-                if symbol:
-                    stack.append((path + symbol, child))
+        before = ""
+        for word in sorted(words):
+            shared, most = 0, min(len(word), len(before))
+            while shared < most and word[shared] == before[shared]:
+                shared += 1
+            del lasts[shared + 1 :]
+            size = len(word)
+            for k in range(len(lasts), size):
+                lasts.append(self._last_token(word, k, lasts, ""))
+            token = self._last_token(word, size, lasts, self.suffix)
+            tokens, place = [token], size - (len(token) - len(self.suffix))
+            while place:
+                token = lasts[place]
+                tokens.append(token)
+                place -= len(token)
+            tokens.reverse()
+            out[word] = tokens
+            before = word
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
-        return " ".join(self.names[i] for i in ids if i in self.names)
+        """Tokens joined by blanks, as the library does without a decoder; ids of no token are left out."""
+        return " ".join([self.names[i] for i in ids if i in self.names])
 
     def _cut(self, text: str) -> list[str]:
         """Normalised text without added tokens, cut at white space."""
@@ -182,16 +183,23 @@ class TrieEncoder:
 
     def _learn(self, chunks: set[str]) -> None:
         """Encodes the chunks that are not in store."""
-        table = self.bytes
-        cut = {c: ["".join([table[b] for b in w.encode()]) for w in self.words.findall(c)] for c in chunks if c[0] != " "}
-        words = {w for found in cut.values() for w in found}
-        known = self.known_words
+        table, known, vocab = self.bytes, self.known_words, self.vocab
         if len(known) > CACHED_CHUNKS:
             known.clear()
-        known.update(self.encode_words(sorted(w for w in words if w not in known)))
+        cut: dict[str, list[str]] = {}
         for chunk in chunks:
-            ids = [self.added[chunk[1:]]] if chunk[0] == " " else [i for w in cut[chunk] for i in known[w]]
-            self.chunks[chunk] = (np.array(ids, np.int32).tobytes(), self.decode(ids))
+            if chunk[0] == " ":
+                token = chunk[1:]
+                self.chunks[chunk] = (array("i", [self.added[token]]).tobytes(), token)
+                continue
+            words = [chunk] if chunk.isalpha() else self.words.findall(chunk)
+            cut[chunk] = [w if w.isascii() and w.isprintable() else "".join([table[b] for b in w.encode()]) for w in words]
+        new = {w for words in cut.values() for w in words if w not in known}
+        for word, tokens in self.encode_words(new).items():
+            known[word] = (array("i", [vocab[t] for t in tokens]).tobytes(), " ".join(tokens))
+        for chunk, words in cut.items():
+            found = [known[w] for w in words]
+            self.chunks[chunk] = found[0] if len(found) == 1 else (b"".join([x[0] for x in found]), " ".join([x[1] for x in found]))
 
     def encode_texts(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Ids (int32 bytes) and decoded text of each text."""

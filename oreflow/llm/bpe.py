@@ -45,6 +45,7 @@ CACHED_CHUNKS = 300_000
 MAX_PAIRS = 1_000_000
 #: What the files' patterns mean by white space (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BASE = (-1, "", "")
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(f"[{SPACE}]+")
 
@@ -78,6 +79,7 @@ class TrieEncoder:
         self.vocab: dict[str, int] = model["vocab"]
         self.names = {i: token for token, i in self.vocab.items()} | {x["id"]: x["content"] for x in spec["added_tokens"]}
         self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+        self.made = {a + b: (i, a, b) for (a, b), i in self.rank.items()}  # how each token is made
         self.words = regex.compile(cutters[0]["pattern"]["Regex"].replace(r"\s", SPACE))
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.splitter = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.added, key=len, reverse=True)) + ")")
@@ -117,10 +119,29 @@ class TrieEncoder:
         if found is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            found = self._merged(self._symbols(left) + self._symbols(right)) == [left, right]
-            self.pairs[(left, right)] = found
+            found = self.pairs[(left, right)] = self._stay_apart(left, right)
         return found
 
+    def _stay_apart(self, left: str, right: str) -> bool:
+        """No merge across the border comes before the merges that make these tokens.
+
+        Goes back in time: at each step the later of the two tokens at the border is
+        taken apart again, and the pair that then stood at the border must not have
+        merged before that. Of equal merges the left one comes first.
+        """
+        rank, made, before = self.rank, self.made, len(self.rank)
+        while True:
+            across = rank.get((left, right))
+            if across is not None and across < before:
+                return False
+            at_left, at_right = made.get(left, _BASE), made.get(right, _BASE)
+            if at_left[0] > at_right[0]:
+                before, left = at_left[0], at_left[2]
+            elif at_right[0] >= 0:
+                before, right = at_right[0] + 1, at_right[1]
+            else:
+                return True
+
     def _last_token(self, path: str, size: int, lasts: list[str], end: str) -> str:
         """The last token of the encoding of the path's first ``size`` symbols, given those of its shorter prefixes."""
         vocab, tails, found = self.vocab, self.tails, []

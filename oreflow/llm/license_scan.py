@@ -95,15 +95,18 @@ def _base(prepared: DataFrame, phrases: dict[str, str]) -> DataFrame:
 
     def starts(phrase: str) -> Column:
         parts = phrase.split(" ")
-        places = F.sequence(F.lit(0), F.size(words) - len(parts))
 
-        def stands(i: Column) -> Column:
+        def stands(words: Column, i: Column) -> Column:
             found = F.get(words, i) == parts[0]
             for k, part in enumerate(parts[1:], 1):
                 found = found & (F.get(words, i + k) == part)
             return found
 
-        return F.when(holds[phrase], F.filter(places, stands)).otherwise(F.array().cast("array<int>"))
+        def places(words: Column) -> Column:
+            return F.filter(F.sequence(F.lit(0), F.size(words) - len(parts)), lambda i: stands(words, i))
+
+        # as an element of an array the words are a variable, cut once and not anew for every place
+        return F.when(holds[phrase], F.get(F.transform(F.array(words), places), F.lit(0))).otherwise(F.array().cast("array<int>"))
 
     rows = rows.withColumn("n_words", n_words.cast("long")).withColumn(
         "found", F.array(*[F.struct(F.lit(label).alias("label"), starts(p).alias("starts")) for p, label in phrases.items()])

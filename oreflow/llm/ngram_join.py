@@ -25,8 +25,9 @@ exceeds the sets' distance, and then by the sets themselves.
 
 Scale: signatures move as packed arrays in buckets whose number follows the text
 size. Equal sets are one node before any comparison. A group of near copies costs
-one pair per member, not all pairs. Sets are rebuilt from the text for candidates
-only. Links, components and nodes stay in DataFrames.
+one pair per member, not all pairs. Texts are never shuffled: sets are rebuilt
+where texts are read, for the ids that pass a bitmap of the candidates' ids, whose
+size is bounded. Links, components and nodes stay in DataFrames.
 
 Defined results: a document of fewer than n words has one shingle, its whole word
 sequence; without words its set is empty and links with nothing, and its
@@ -49,6 +50,8 @@ from oreflow.llm.shared import checkpointed, connected_components
 from oreflow.llm.textbytes import LOWER, NONSPACE, Slice, mix, prefix_hash, ranges, slices, span_hash, word_spans
 
 ENUMERATE_UP_TO = 32
+#: Size of the id filter that is sent to tasks (64 MB); with more ids it lets more others pass, which a join then drops.
+FILTER_BITS = 1 << 29
 BUCKET_BYTES = 8 << 20
 _FLUSH = 1 << 20
 _SKETCH_BITS = 256
@@ -326,15 +329,38 @@ def _pairs_of(rule: Similarity, forest: bool):
     return lambda group: _cross_pairs(group, rule, forest)
 
 
-def _sets(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        values, borders = shingle_sets(part, words)
-        match = set_nodes(values, borders) == part.column("node").to_numpy(zero_copy_only=False)
-        size = np.diff(borders)[match]
-        features = values[ranges(borders[:-1][match], size)]
-        edges = np.concatenate([[0], np.cumsum(size * 8)]).astype(np.int32)
-        binary = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(features))])
-        yield pa.RecordBatch.from_arrays([part.column("node").filter(pa.array(match)), binary], ["node", "features"])
+def _filter_bits(ids: np.ndarray, size: int) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(size)).astype(np.int64)
+
+
+def _filter_words(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bits = np.unique(_filter_bits(batch.column("doc_id").to_numpy(), size))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bits >> 6), pa.array((np.uint64(1) << (bits & 63).astype(np.uint64)).view(np.int64))], ["word", "bits"]
+        )
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """One hash bit per doc_id, in a bitmap of at most ``FILTER_BITS`` bits. It lets all of these ids pass, and few others."""
+    size = min(FILTER_BITS, max(1 << 12, 1 << (16 * ids.count()).bit_length()))
+    words = ids.select("doc_id").mapInArrow(lambda b: _filter_words(b, size), "word long, bits long")
+    out = np.zeros(size // 64, np.int64)
+    for row in words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+        out[row["word"]] = row["bits"]
+    return out.view(np.uint64)
+
+
+def _sets(batches: Iterable[pa.RecordBatch], words: int, bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Nodes and features of the texts whose id passes the filter."""
+    for batch in batches:
+        bits = _filter_bits(batch.column("doc_id").to_numpy(), len(bitmap) * 64)
+        passes = (bitmap[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1) == 1
+        for part in slices([batch.filter(pa.array(passes))]):
+            values, borders = shingle_sets(part, words)
+            edges = (borders * 8).astype(np.int32)
+            features = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(values))])
+            yield pa.RecordBatch.from_arrays([pa.array(set_nodes(values, borders)), features], ["node", "features"])
 
 
 def _verify(batches: Iterable[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
@@ -375,14 +401,13 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
             & (distance * (rule.denominator + rule.numerator) <= total * (rule.denominator - rule.numerator))
         ).select("b", "a")
     )
-    wanted = tested.select(F.col("a").alias("node")).union(tested.select("b")).union(larger.select("node")).distinct()
-    named_nodes = nodes.select("node", "doc_id").join(wanted, "node", "left_semi")
-    sets = checkpointed(
-        named.join(named_nodes, "doc_id").mapInArrow(lambda b: _sets(b, rule.words), "node long, features binary")
-        .groupBy("node").agg(F.first("features").alias("features"))
-    )
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs whose sets link. Sets are rebuilt where the texts are read, for the nodes of these pairs."""
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        bitmap = named.sparkSession.sparkContext.broadcast(id_filter(nodes.join(wanted, "node", "left_semi")))
+        rebuilt = named.mapInArrow(lambda b: _sets(b, rule.words, bitmap.value), "node long, features binary")
+        sets = checkpointed(rebuilt.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("features").alias("features")))
         both = pairs.join(sets.select(F.col("node").alias("b"), F.col("features").alias("b_set")), "b").join(
             sets.select(F.col("node").alias("a"), F.col("features").alias("a_set")), "a"
         )

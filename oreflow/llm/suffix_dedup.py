@@ -47,7 +47,7 @@ from oreflow.llm.textbytes import Slice, mix, powers, prefix_hash, ranges, slice
 
 LENGTH = 50
 GRAM = 18
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 _FLUSH = 1 << 20
 _LOW = np.uint64(0xFFFFFFFF)
 _COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()

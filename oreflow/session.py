@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # State stores outside the heap, with small commits.
@@ -36,17 +37,24 @@ def build_session(app: str = "oreflow", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def state_session(spark: SparkSession) -> SparkSession:
+def only_absent(error: AnalysisException) -> None:
+    """Passes where the error says that nothing is stored there yet; any other error goes on."""
+    if error.getCondition() != "PATH_NOT_FOUND":
+        raise error
+
+
+def state_session(spark: SparkSession, stores: int | None = None) -> SparkSession:
     """A session for streams that keep state, on the same context.
 
     The number of state stores is fixed by the first run of a checkpoint and AQE
-    does not apply, so it follows the cores there are instead of the setting for
-    batch shuffles. State lives in RocksDB, outside the heap.
+    does not apply, so it is stated: ``stores``, or the session's shuffle
+    partitions. It never follows the cores that happen to be there. State lives in
+    RocksDB, outside the heap.
     """
     session = spark.newSession()
     zone = "spark.sql.session.timeZone"
     session.conf.set(zone, spark.conf.get(zone))
-    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    session.conf.set("spark.sql.shuffle.partitions", str(stores or spark.conf.get("spark.sql.shuffle.partitions")))
     for key, value in STATE_SETTINGS.items():
         session.conf.set(key, value)
     return session

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.operators.content import HASH_LENGTH, content_hash
+from oreflow.session import only_absent
 
 MARK = "__"
 
@@ -48,7 +49,8 @@ def newest_landed(spark: SparkSession, root: str, name: str) -> tuple[int, str]
     """Version and hash of the newest complete snapshot, from the log beside the snapshots."""
     try:
         log = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_landed")
-    except AnalysisException:
+    except AnalysisException as error:
+        only_absent(error)
         return None
     newest = log.filter(F.col("file_name") == name).agg(F.max(F.struct("version", "content_hash")).alias("s")).first()["s"]
     return (newest["version"], newest["content_hash"]) if newest else None

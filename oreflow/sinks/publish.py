@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.operators.quality import Checked, violations
+from oreflow.session import only_absent
 
 
 class ExpectationFailed(RuntimeError):
@@ -26,7 +27,8 @@ class ExpectationFailed(RuntimeError):
 def published_version(spark: SparkSession, root: str) -> int | None:
     try:
         marked = spark.read.schema("version BIGINT").parquet(f"{root}/published")
-    except AnalysisException:
+    except AnalysisException as error:
+        only_absent(error)
         return None
     return marked.agg(F.max("version")).first()[0]
 

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.session import only_absent
+
 
 def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Overwrite a managed table, or an external one at ``path``."""
@@ -38,7 +40,8 @@ def ensure_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table at ``path``, created empty with the given schema where there is none."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        only_absent(error)
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
         return spark.read.schema(schema).parquet(path)
 

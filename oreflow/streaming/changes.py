@@ -18,13 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.operators.dedup import dedup_latest
+from oreflow.session import only_absent
 from oreflow.sinks.publish import mark_published, published_version, read_version
 
 
 def _tail(spark: SparkSession, target: str, after: int | None, upto: int | None = None) -> DataFrame | None:
     try:
         changes = spark.read.option("basePath", f"{target}/changes").parquet(f"{target}/changes/batch=*")
-    except AnalysisException:
+    except AnalysisException as error:
+        only_absent(error)
         return None
     # a filter on the partition column: Spark lists but does not open the other batches
     wanted = F.lit(True) if after is None else F.col("batch") > after

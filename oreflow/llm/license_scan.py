@@ -15,6 +15,12 @@ pairs:
   tokens must be left on both sides.
 - What passes is counted exactly.
 
+With ``across_lines`` the blocks are windows over the words of the whole text, line
+breaks being gaps like any other: each at least twice as long as the longest notice
+and as a block of a line, the next half a window on, so notices wrapped over lines
+and every block of a line lie within one. The default, which the SQL form states,
+stays within lines and misses wrapped notices of which no line holds enough.
+
 Besides, the base phrases are found wherever their words stand one after another
 in the whole text, across lines.
 
@@ -66,8 +72,12 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GAPS_IN_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def _words_of(text: str) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(_UPPER, _LOWER)))
+
+
 def notice_tokens(text: str) -> list[str]:
-    return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(_UPPER, _LOWER)))))
+    return sorted(set(_words_of(text)))
 
 
 def _array(words: list[str]) -> Column:
@@ -134,6 +144,12 @@ def text_blocks(prepared: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     )
 
 
+def text_windows(prepared: DataFrame, notices: list[tuple[str, str]] = NOTICES, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, text_key and ``words`` of every window over the whole text, across lines."""
+    half = max([block_words] + [len(_words_of(text)) for _, text in notices])
+    return text_blocks(prepared.withColumn("lined", F.regexp_replace("lined", r"[ \n]+", " ")), 2 * half)
+
+
 def _token_order(blocks: DataFrame, tokens: list[str]) -> list[str]:
     """The tokens by the number of blocks that hold them, rarest first."""
     counted = blocks.select(F.explode(F.array_intersect(_array(tokens), F.col("words"))).alias("token")).groupBy("token").count()
@@ -187,11 +203,12 @@ def notice_matches(
 
 def scan_licenses(
     documents: DataFrame, notices: list[tuple[str, str]] = NOTICES, phrases: dict[str, str] = BASE_PHRASES,
-    threshold: float = THRESHOLD,
+    threshold: float = THRESHOLD, across_lines: bool = False,
 ) -> DataFrame:
     """Per document: words, base places, ``base`` labels, all ``labels`` (both sorted arrays) and the best score."""
     prepared = _prepared(documents)
-    found = notice_matches(text_blocks(prepared), notices, threshold).groupBy("doc_id", "text_key").agg(
+    blocks = text_windows(prepared, notices) if across_lines else text_blocks(prepared)
+    found = notice_matches(blocks, notices, threshold).groupBy("doc_id", "text_key").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best")
     )
     base = _base(prepared, phrases)

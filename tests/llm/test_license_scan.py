@@ -63,3 +63,31 @@ def test_empty_table_other_columns_and_bad_notices(spark):
     assert scan_licenses(odd).collect()[0]["labels"] == ["cc-by-nc"]
     with pytest.raises(ValueError):
         notice_matches(text_blocks(_prepared(odd)), [("none", "...")])
+
+
+def test_notices_wrapped_over_lines(spark):
+    """The notices of several lines, wrapped at 72 columns with comment signs, and one longer than a block of a line."""
+    import textwrap
+
+    long = ("long", " ".join(f"term{i}" for i in range(90)))
+    bodies = {
+        "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "mpl-2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "long": long[1],
+    }
+    plain = "the of and a to in it is that on " * 20
+    rows = []
+    for label, body in bodies.items():
+        wrapped = "\n".join(f" * {line}" for line in textwrap.wrap(body, 72))
+        rows += [(label, wrapped), (label, f"{plain}\n{wrapped}\n{plain}")]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    notices = [*NOTICES, long]
+    found = {r["doc_id"]: r for r in scan_licenses(docs, notices, across_lines=True).collect()}
+    assert [(found[i]["labels"], found[i]["score"]) for i in range(len(rows))] == [([label], 1.0) for label, _ in rows]
+
+
+def test_windows_hold_every_block_of_a_line(spark):
+    docs = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
+    lines = {r["doc_id"]: set(r["labels"]) for r in scan_licenses(docs).collect()}
+    whole = {r["doc_id"]: set(r["labels"]) for r in scan_licenses(docs, across_lines=True).collect()}
+    assert all(lines[i] <= whole[i] for i in lines)

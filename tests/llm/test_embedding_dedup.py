@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from oreflow.llm.embedding_dedup import near_duplicates
 
@@ -68,3 +69,33 @@ def test_empty_table_and_other_columns(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     odd = spark.createDataFrame([(1, [1.0], 1, 5), (2, [2.0], 1, 6)], SCHEMA + ", node int")
     assert {tuple(r) for r in near_duplicates(odd).collect()} == {(1, 1, 1, True), (2, 1, 1, False)}
+
+
+def test_recall_in_a_dense_label(spark):
+    """20,000 vectors at mutual cosines of 0.95 with 300 pairs at 0.985 among them: every link and component is found."""
+    rng = np.random.default_rng(4)
+    n, size, planted = 20_000, 64, 300
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    center = unit(rng.standard_normal((1, size)))
+    e = unit(center + np.sqrt(1 / 0.95 - 1) * unit(rng.standard_normal((n, size))))
+    e[:planted] = unit(e[planted : 2 * planted] + np.sqrt(1 / 0.985**2 - 1) * unit(rng.standard_normal((planted, size))))
+    e = e.astype(np.float32)
+    exact = unit(e.astype(float))
+    pairs = []
+    for low in range(0, n, 1000):
+        x, y = np.nonzero(exact[low : low + 1000] @ exact.T >= 0.98)
+        pairs += [(a, b) for a, b in zip((x + low).tolist(), y.tolist()) if a != b]
+    links = np.bincount([a for a, _ in pairs], minlength=n)
+    group = np.arange(n)
+    while True:
+        old = group.copy()
+        for a, b in pairs:
+            group[a] = min(group[a], group[b])
+        if (old == group).all():
+            break
+    docs = spark.createDataFrame(
+        pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(e), pa.list_(pa.float32())), "label": np.ones(n, np.int32)})
+    )
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_duplicates(docs).collect()}
+    wrong = [i for i in range(n) if found[i] != (links[i], group[i])]
+    assert len(pairs) >= 2 * planted and not wrong, f"{len(wrong)} wrong, {sum(found[i][0] for i in range(n))} of {len(pairs)} links"

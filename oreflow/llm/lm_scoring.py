@@ -7,8 +7,9 @@ distance, adds them up, takes tanh and predicts the masked word in two softmax
 steps, group and word within the group. A document's score is the sum over all
 its words of the log-probability of the word given both sides.
 
-Training masks every ``MASK_EVERY``-th word of all documents, in ``ROUNDS`` rounds
-that each take their own share of the documents. Every task trains on its
+Training masks every word of all documents once: every ``MASK_EVERY``-th, then those
+next to them, until all were masked. It goes in ``ROUNDS`` rounds that each take
+their own share of the documents. Every task trains on its
 documents by stochastic gradient steps in numpy (per-weight step sizes), starting
 from the round's common weights; the tasks' weights are then averaged, weighted
 by what they have seen, and start the next round.
@@ -216,15 +217,17 @@ def _train(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary, weights: n
         ids, place, first = _places(part, vocabulary)
         counts = np.diff(first)
         number = ranges(np.zeros(len(part), np.int64), counts)
-        masked = place[(number + np.repeat(counts, counts)) % MASK_EVERY == 0]
-        waiting.append(np.concatenate([_context(ids, masked), ids[masked][None]]))
-        size += len(masked)
-        if size >= BATCH:
-            found = np.concatenate(waiting, axis=1)
-            whole = size // BATCH * BATCH
-            for low in range(0, whole, BATCH):
-                network.train(found[:-1, low : low + BATCH], found[-1, low : low + BATCH])
-            seen, waiting, size = seen + whole, [found[:, whole:]], size - whole
+        number += np.repeat(counts, counts)
+        for offset in range(MASK_EVERY):
+            masked = place[number % MASK_EVERY == offset]
+            waiting.append(np.concatenate([_context(ids, masked), ids[masked][None]]))
+            size += len(masked)
+            if size >= BATCH:
+                found = np.concatenate(waiting, axis=1)
+                whole = size // BATCH * BATCH
+                for low in range(0, whole, BATCH):
+                    network.train(found[:-1, low : low + BATCH], found[-1, low : low + BATCH])
+                seen, waiting, size = seen + whole, [found[:, whole:]], size - whole
     if size:
         found = np.concatenate(waiting, axis=1)
         network.train(found[:-1], found[-1])

@@ -1,4 +1,7 @@
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 
 from oreflow.llm import lm_scoring
 from oreflow.llm.lm_scoring import GROUP, Network, count_vocabulary, score_documents, train_network
@@ -83,3 +86,16 @@ def test_empty_table_and_other_columns(spark):
     odd = spark.createDataFrame([(1, "a b", 5, "x")], "doc_id long, text string, score int, bucket string")
     assert [r["n_words"] for r in score_documents(odd).collect()] == [2]
     assert lm_scoring.FREQUENT + lm_scoring.RARE == Network((lm_scoring.FREQUENT + lm_scoring.RARE)).size
+
+
+def test_every_word_is_a_target_once(monkeypatch):
+    texts = ["one", "a b", "a b c", "a b c d", "", None, " ".join(f"w{i}" for i in range(1500))]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    vocabulary = lm_scoring.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), lm_scoring.RARE)
+    targets = []
+    monkeypatch.setattr(Network, "train", lambda self, context, target: targets.extend(target.tolist()))
+    monkeypatch.setattr(lm_scoring, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    (pieces,) = lm_scoring._train([batch], vocabulary, Network(vocabulary.size).weights)
+    words = np.concatenate([vocabulary.of(lm_scoring._words(part)[0]) for part in lm_scoring.slices([batch])])
+    assert sorted(targets) == sorted(words.tolist()) and len(targets) == 1510
+    assert set(pieces.column("seen").to_pylist()) == {1510}

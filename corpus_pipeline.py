@@ -7,6 +7,7 @@ left out; missing texts are null texts.
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,9 @@ def _documents(docs: DataFrame) -> DataFrame:
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told (``und``: a null text or one without a letter) go."""
     docs = _documents(docs)
-    found = language_id.predict_language(docs, language_id.train_prototypes(docs), keys=tuple(COLUMNS))
+    learnt = {name: x for name, x in language_id.train_prototypes(docs).items() if name != language_id.UNKNOWN and np.any(x)}
+    # where no language is learnt, one for all tells texts with a letter from others
+    found = language_id.predict_language(docs, learnt or {"any": np.ones(language_id.DIMENSIONS)}, keys=tuple(COLUMNS))
     return found.filter(F.col("lang_pred") != language_id.UNKNOWN).select(*COLUMNS)
 
 

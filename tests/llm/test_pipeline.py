@@ -97,6 +97,13 @@ def test_repeated_ids_keep_one_row(spark):
     assert kept == {rows_[1], rows_[2]}
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_texts_stay_where_no_language_is_learnt(spark, lang):
+    rows_ = [(i, f"some words of text {i}", lang, "s", 1) for i in range(10)] + [(20, None, lang, "s", 0), (21, "12 34", lang, "s", 5)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {tuple(r) for r in corpus_pipeline.known_language(spark, docs, "").collect()} == set(rows_[:10])
+
+
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
 class TestQueries:
     def test_one_per_operator(self):

@@ -118,3 +118,47 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
        CAST(sum({frame} + length({role}) + length({escaped.format('text')})) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+def periodic_runs(least_words: int, least_times: int, gram: int) -> str:
+    """Every pair of equal strings of ``gram`` words of one text, joined into stretches by their distance."""
+    crc = """xor(list_reduce(
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)),
+        lambda crc, byte: list_reduce(
+            CAST(range(8) AS BIGINT[]),
+            lambda bits, step: CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, CAST(3988292384 AS BIGINT)) ELSE bits >> 1 END,
+            xor(crc, byte)),
+        CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
+    return rf"""
+WITH cut AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {crc} AS h FROM documents
+), planted AS (
+    SELECT *, CAST(len(w) AS BIGINT) AS n, h % 10 = 0 AND len(w) > 0 AS periodic, (h // 10) % greatest(len(w), 1) AS a FROM cut
+), docs AS MATERIALIZED (
+    SELECT row_id, doc_id, n, CASE WHEN periodic
+        THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END])
+        ELSE w END AS v FROM planted
+), grams AS MATERIALIZED (
+    SELECT row_id, n, i, md5_number(array_to_string(v[i + 1 : i + {gram}], ' ')) AS gram
+    FROM (SELECT row_id, n, v, unnest(range(n - {gram - 1})) AS i FROM docs WHERE n >= {gram})
+), pairs AS (
+    SELECT x.row_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.row_id = y.row_id AND x.gram = y.gram AND x.i < y.i
+    WHERE {least_times} * (y.i - x.i) <= x.n
+), stretches AS (
+    SELECT row_id, q, min(i) AS start, count(*) + {gram - 1} + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY row_id, q ORDER BY i) AS stretch FROM pairs) GROUP BY row_id, q, stretch
+), runs AS MATERIALIZED (
+    SELECT row_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest({least_words}, {least_times} * q) GROUP BY 1, 2, 3
+), gone AS (SELECT DISTINCT row_id, unnest(range(start + period, start + length)) AS i FROM runs),
+collapsed AS (
+    SELECT row_id, string_agg(word, ' ' ORDER BY i) AS text
+    FROM (SELECT row_id, unnest(v) AS word, unnest(range(n)) AS i FROM docs SEMI JOIN runs USING (row_id)) ANTI JOIN gone USING (row_id, i)
+    GROUP BY 1
+), listed AS (
+    SELECT row_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY 1
+), longest AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY length DESC, start, period) = 1)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, start, length, period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(c.text, array_to_string(v, ' '))) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (row_id) LEFT JOIN longest USING (row_id) LEFT JOIN collapsed c USING (row_id)
+"""

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm import (
-    bpe, chat_format, decontamination, embedding_dedup, language_id, license_scan, lm_scoring, ngram_join, oracles, quality,
-    suffix_dedup,
+    bpe, centroid_clustering, chat_format, decontamination, embedding_dedup, language_id, license_scan, lm_scoring, ngram_join,
+    oracles, periodic_runs, quality, suffix_dedup, warc,
 )
 from oreflow.llm.shared import table
 
@@ -78,6 +78,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows.unionByName(planted)))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), periodic_runs.planted_order)
+    return periodic_runs.run_digests(found)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.write_and_read(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.with_digests(centroid_clustering.cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality": op2_quality,
@@ -89,6 +103,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_warc": op12_warc,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 ORACLES: dict[str, str] = {
@@ -98,4 +115,7 @@ ORACLES: dict[str, str] = {
     "op8_decontamination": oracles.DECONTAMINATION,
     "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op10_chat_format": oracles.chat_format(chat_format.START, chat_format.END, PLANTED),
+    "op11_periodic_runs": oracles.periodic_runs(periodic_runs.LEAST_WORDS, periodic_runs.LEAST_TIMES, periodic_runs.GRAM),
+    "op12_warc": warc.WARC_SQL,
+    "op13_centroid_clustering": centroid_clustering.clustering_sql(),
 }

@@ -48,7 +48,7 @@ WITH_BEST = f"WITH {OBSERVATIONS_SQL}, {LABELS_SQL}, {best_sql('best', QUARTERS)
 BEST = f"{WITH_BEST} SELECT * FROM best"
 
 
-def _rounded(df):
+def rounded(df):
     """Doubles to the cent: sums and means depend on partition order in their last bits."""
     return df.select(*[F.round(c, 2).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
 
@@ -59,17 +59,17 @@ def _best(spark, sf_dir, form, periods=QUARTERS):
 
 @register("best_period_df", BEST)
 def best_period_df(spark, sf_dir):
-    return _rounded(_best(spark, sf_dir, analytics.best_period_ranked))
+    return rounded(_best(spark, sf_dir, analytics.best_period_ranked))
 
 
 @register("best_period_sql", BEST)
 def best_period_sql(spark, sf_dir):
-    return _rounded(_best(spark, sf_dir, questions_sql.best_period_sql))
+    return rounded(_best(spark, sf_dir, questions_sql.best_period_sql))
 
 
 @register("best_period_maxstruct", BEST)
 def best_period_maxstruct(spark, sf_dir):
-    return _rounded(_best(spark, sf_dir, analytics.best_period))
+    return rounded(_best(spark, sf_dir, analytics.best_period))
 
 
 YEARLY = f"WITH {OBSERVATIONS_SQL}, {sums_sql('all', QUARTERS)} SELECT series_id, year, round(summed_value, 2) AS summed_value FROM all_sums"
@@ -77,7 +77,7 @@ YEARLY = f"WITH {OBSERVATIONS_SQL}, {sums_sql('all', QUARTERS)} SELECT series_id
 
 @register("yearly_sums", YEARLY)
 def yearly_sums(spark, sf_dir):
-    return _rounded(analytics.yearly_sums(observations(spark, sf_dir)))
+    return rounded(analytics.yearly_sums(observations(spark, sf_dir)))
 
 
 # --- statistics over a range of years ---
@@ -91,12 +91,12 @@ FROM totals WHERE year BETWEEN {START} AND {END}"""
 
 @register("range_stats_df", STATS)
 def range_stats_df(spark, sf_dir):
-    return _rounded(analytics.range_stats(yearly_totals(spark, sf_dir), START, END))
+    return rounded(analytics.range_stats(yearly_totals(spark, sf_dir), START, END))
 
 
 @register("range_stats_sql", STATS)
 def range_stats_sql(spark, sf_dir):
-    return _rounded(questions_sql.range_stats_sql(yearly_totals(spark, sf_dir), START, END))
+    return rounded(questions_sql.range_stats_sql(yearly_totals(spark, sf_dir), START, END))
 
 
 @register("range_stats_complete", STATS)
@@ -105,7 +105,7 @@ def range_stats_complete(spark, sf_dir):
     answer = questions_sql.range_stats_sql(yearly_totals(spark, sf_dir), START, END)
     root = work_dir(spark, "range-stats")
     publish(apply_expectations(answer, [analytics.completeness(YEARS), *analytics.RANGE_STATS_RULES]), root)
-    return _rounded(read_published(spark, root))
+    return rounded(read_published(spark, root))
 
 
 # --- one series with context ---
@@ -220,7 +220,7 @@ def report_best_by_value(spark, sf_dir):
         FROM best GROUP BY 1""",
 )
 def report_best_by_label(spark, sf_dir):
-    return _rounded(reports.best_by_label(best_period_sql(spark, sf_dir)))
+    return rounded(reports.best_by_label(best_period_sql(spark, sf_dir)))
 
 
 @register(

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from catalogue.base import Catalogue, observations, table
-from catalogue.gold import YEARLY
+from catalogue.gold import YEARLY, rounded
 from oreflow.operators.analytics import yearly_sums
 from oreflow.operators.quality import Expectation, apply_expectations
 from oreflow.session import work_dir
@@ -32,7 +32,7 @@ def sink_overwrite(spark, sf_dir):
     for source in (obs.filter("year < 2000"), obs):
         sums = document_columns(yearly_sums(source), {"summed_value": "sum of the quarters"})
         publish(apply_expectations(sums, rules), root)
-    return read_published(spark, root)
+    return rounded(read_published(spark, root))
 
 
 @register(

@@ -10,18 +10,19 @@ def trimmed(name: str) -> Column:
     return F.trim(F.col(f"`{name}`")).alias(name)
 
 
-def _tried(name: str, kind: str) -> Column:
+def _tried(value: str | Column, kind: str) -> Column:
+    column = F.col(f"`{value}`") if isinstance(value, str) else value
     # try_cast: with ANSI on, a plain cast of '-' would end the job
-    return F.trim(F.col(f"`{name}`").cast("string")).try_cast(kind)
+    return F.trim(column.cast("string")).try_cast(kind)
 
 
-def to_int(name: str) -> Column:
-    return _tried(name, "int")
+def to_int(value: str | Column) -> Column:
+    return _tried(value, "int")
 
 
-def to_long(name: str) -> Column:
-    return _tried(name, "bigint")
+def to_long(value: str | Column) -> Column:
+    return _tried(value, "bigint")
 
 
-def to_double(name: str) -> Column:
-    return _tried(name, "double")
+def to_double(value: str | Column) -> Column:
+    return _tried(value, "double")

@@ -94,6 +94,31 @@ def violations(df: DataFrame, rules: Iterable[Expectation]) -> DataFrame:
     return _per_rule(df.agg(F.count(F.lit(1)).alias("rows"), *counts), rules, ["violations"], [])
 
 
+def rule_counts(rules: Iterable[Expectation]) -> list[Column]:
+    """Aggregates for ``observe``: all rows, kept rows, and each rule's violations.
+
+    A drop rule is judged on every row, the others on the rows that the drop rules keep.
+    """
+    rules = list(rules)
+    kept = F.lit(True)
+    for rule in rules:
+        kept = kept & rule.holds if rule.action == "drop" else kept
+    found = [
+        F.count_if(~rule.holds if rule.action == "drop" else kept & ~rule.holds).alias(f"violations_{i}")
+        for i, rule in enumerate(rules)
+    ]
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(kept).alias("kept"), *found]
+
+
+def counted_rules(spark: SparkSession, counts: dict[str, int], rules: Iterable[Expectation]) -> DataFrame:
+    """What ``rule_counts`` observed as one row per rule."""
+    rows = [
+        (rule.name, rule.action, counts.get("rows" if rule.action == "drop" else "kept", 0), counts.get(f"violations_{i}", 0))
+        for i, rule in enumerate(rules)
+    ]
+    return spark.createDataFrame(rows, "rule STRING, action STRING, rows BIGINT, violations BIGINT").coalesce(1)
+
+
 def pass_rates(df: DataFrame, rules: Iterable[Expectation], by: dict[str, Column]) -> DataFrame:
     """Share of rows that pass each rule, per group (a day, a load, a source)."""
     rules = list(rules)

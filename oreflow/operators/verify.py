@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COPIES_PER_BLOCK = 100_000
@@ -27,31 +27,32 @@ def _close(x: Column, y: Column, tolerance: float) -> Column:
 
 
 def diff_count(left: DataFrame, right: DataFrame, tolerance: float | None = None) -> DataFrame:
-    """Rows that occur more often on one side than on the other: one row, one number, one pass.
+    """Rows that occur more often on one side than on the other: one row, one number.
 
     With a ``tolerance``, floating columns may differ by that share of the larger
     value; sums, means and deviations need it, as their last bits depend on
-    partition order. Rows that are alike in all other columns are then compared by
-    their number and by the smallest and largest of each floating column.
+    partition order. Rows that are equal to the last bit cancel out first, before any
+    of them is shuffled by key. Of the rest, rows alike in all other columns are put
+    in the order of each floating column: neighbours within the tolerance are one
+    value, and rows are counted per combination of values. Two windows over one
+    shuffle do it; one task sorts the rows of a key that are not equal to the last bit.
     """
+    counts = _signed_counts(left, right)
     floating = [c for c, kind in left.dtypes if tolerance and kind in ("double", "float")]
-    if not floating:
-        differing = F.coalesce(F.sum(F.abs("_copies")), F.lit(0)).cast("bigint")
-        return _signed_counts(left, right).agg(differing.alias("diff_row_count"))
-    _check_columns(left, right)
-    sides = left.withColumn("_left", F.lit(True)).unionByName(right.withColumn("_left", F.lit(False)))
-    facts = [F.count_if("_left").alias("_l"), F.count_if(~F.col("_left")).alias("_r")]
-    pairs = []
-    for i, name in enumerate(floating):
-        for j, (fold, here) in enumerate((f, h) for f in (F.min, F.max, F.count) for h in (True, False)):
-            facts.append(fold(F.when(F.col("_left") == here, F.col(f"`{name}`")).cast("double")).alias(f"_f{i}_{j}"))
-        pairs += [_close(F.col(f"_f{i}_{j}"), F.col(f"_f{i}_{j + 1}"), tolerance) for j in (0, 2, 4)]
-    groups = sides.groupBy(*[F.col(f"`{c}`") for c in left.columns if c not in floating]).agg(*facts)
-    alike = F.lit(True)
-    for pair in pairs:
-        alike = alike & pair
-    differing = F.when((F.col("_l") == F.col("_r")) & ~alike, F.col("_l") + F.col("_r")).otherwise(F.abs(F.col("_l") - F.col("_r")))
-    return groups.agg(F.coalesce(F.sum(differing), F.lit(0)).cast("bigint").alias("diff_row_count"))
+    if floating:
+        counts = counts.filter("_copies <> 0")
+        keys = [F.col(f"`{c}`") for c in left.columns if c not in floating]
+        for i, name in enumerate(floating):
+            order = Window.partitionBy(*keys or [F.lit(0)]).orderBy(F.asc_nulls_first(f"`{name}`"))
+            before = F.lag(F.col(f"`{name}`")).over(order)
+            first = F.row_number().over(order) == 1
+            same = first | _close(before.cast("double"), F.col(f"`{name}`").cast("double"), tolerance)
+            counts = counts.withColumn(f"_new_{i}", F.when(same, 0).otherwise(1))
+            so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            counts = counts.withColumn(f"_value_{i}", F.sum(f"_new_{i}").over(so_far))
+        values = [F.col(f"_value_{i}") for i in range(len(floating))]
+        counts = counts.groupBy(*keys, *values).agg(F.sum("_copies").alias("_copies"))
+    return counts.agg(F.coalesce(F.sum(F.abs("_copies")), F.lit(0)).cast("bigint").alias("diff_row_count"))
 
 
 def except_all(left: DataFrame, right: DataFrame) -> DataFrame:

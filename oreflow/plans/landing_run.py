@@ -9,6 +9,10 @@ said, so a file that is revised meanwhile is seen as changed by the next run. A
 file that cannot be landed whole is refused: an envelope that is not valid, or
 rows with more fields than the header. It stays out of the manifest, the others go
 on, and the run raises at its end.
+
+What counts as a new version is the digest of a file's bytes: a new header, order
+or encoding shows as well as a new value. Digests and checks are one job each for
+all files of a run.
 """
 
 from __future__ import annotations
@@ -24,7 +28,8 @@ from oreflow.operators.quality import Expectation, apply_expectations
 from oreflow.session import work_dir
 from oreflow.sinks.landing import land_snapshot
 from oreflow.sinks.publish import publish, published_version, read_published
-from oreflow.sources.delimited import file_headers, read_delimited, row_widths
+from oreflow.sources.delimited import read_delimited
+from oreflow.sources.digests import file_digests
 from oreflow.sources.listing import list_files
 
 
@@ -57,42 +62,67 @@ class LandingFailed(RuntimeError):
         self.summary, self.failed = summary, failed
 
 
-def _fault(spark: SparkSession, path: str, name: str) -> str | None:
-    """Why a file must not be landed, or None."""
-    if name.endswith(".json"):
-        status = spark.read.text(path, wholetext=True).select(envelope_status(F.col("value")).alias("status"))
-        bad = status.filter("status <> 'ok'").first()
-        return f"envelope is {bad['status']}" if bad else None
-    if name == layouts.NOTES_FILE:
-        return None
-    header = file_headers(spark, path).select(F.size(F.split("line", "\t")).alias("fields")).first()
-    widest = row_widths(spark, path).agg(F.max("fields")).first()[0]
-    if header and widest and widest > header["fields"]:
-        return f"a row has {widest} fields, the header {header['fields']}"
-    return None
+def _faults(spark: SparkSession, raw: str, names: list[str]) -> dict[str, str]:
+    """Why files must not be landed: of the delimited ones and the envelopes in one job each."""
+    file_name = F.col("_metadata.file_name")
+    found = {}
+    envelopes = [name for name in names if name.endswith(".json")]
+    if envelopes:
+        status = spark.read.text([f"{raw}/{name}" for name in envelopes], wholetext=True).select(
+            file_name.alias("name"), envelope_status(F.col("value")).alias("status")
+        )
+        found |= {row["name"]: f"envelope is {row['status']}" for row in status.filter("status <> 'ok'").collect()}
+    delimited = [name for name in names if name not in envelopes and name != layouts.NOTES_FILE]
+    if delimited:
+        lines = spark.read.text([f"{raw}/{name}" for name in delimited]).select(
+            file_name.alias("name"), (F.length("value") - F.length(F.translate("value", "\t", "")) + 1).alias("fields"),
+            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+        )
+        widths = lines.groupBy("name").agg(F.min_by("fields", "place").alias("header"), F.max("fields").alias("widest"))
+        for row in widths.filter("widest > header").collect():
+            found[row["name"]] = f"a row has {row['widest']} fields, the header {row['header']}"
+    return found
+
+
+def _one_by_one(spark: SparkSession, raw: str, names: list[str]) -> tuple[dict[str, str], dict[str, str]]:
+    """Digests and faults of files some of which can't be read: these are faults, the others are judged."""
+    digests, faults = {}, {}
+    for name in names:
+        try:
+            digests |= _digests(spark, raw, [name])
+            faults |= _faults(spark, raw, [name])
+        except PySparkException as error:
+            faults[name] = str(error)[:300]
+    return digests, faults
+
+
+def _digests(spark: SparkSession, raw: str, names: list[str]) -> dict[str, str]:
+    return {row["file_name"]: row["digest"] for row in file_digests(spark, raw, names).collect()}
 
 
 def land_folder(spark: SparkSession, raw: str, landing: str, manifest_root: str) -> DataFrame:
     """One run. Returns its summary: files seen, current, landed, failed, removed.
 
-    One job or more per file, one after the other: meant for a folder of some
-    large files, not for millions of small ones.
+    Files are copied one after the other, each by all tasks: meant for a folder of
+    some large files, not for millions of small ones.
     """
     manifest = load_manifest(spark, manifest_root)
     stored = work_dir(spark, "pull-plan")
     plan_pull(list_files(spark, raw), manifest).write.parquet(stored)
     plan = spark.read.parquet(stored)
     pulled = to_pull(plan)
-    failed: list[tuple[str, str]] = []
-    for row in pulled.select("file_name").toLocalIterator():
-        name, path = row.file_name, f"{raw}/{row.file_name}"
+    names = sorted(row["file_name"] for row in pulled.select("file_name").collect())
+    try:
+        digests, faults = (_digests(spark, raw, names), _faults(spark, raw, names)) if names else ({}, {})
+    except PySparkException:
+        digests, faults = _one_by_one(spark, raw, names)
+    failed: list[tuple[str, str]] = list(faults.items())
+    for name in names:
+        if name in faults:
+            continue
         try:
-            fault = _fault(spark, path, name)
-            if fault:
-                failed.append((name, fault))
-                continue
-            rows, kind = _snapshot(spark, path, name)
-            land_snapshot(rows, landing, name, kind=kind)
+            rows, kind = _snapshot(spark, f"{raw}/{name}", name)
+            land_snapshot(rows, landing, name, kind=kind, digest=digests.get(name))
         except PySparkException as error:  # one file's trouble must not keep the others out
             failed.append((name, str(error)[:300]))
     bad = spark.createDataFrame(failed, "file_name STRING, reason STRING")

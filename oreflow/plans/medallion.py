@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from oreflow import layouts
-from oreflow.functions.names import resolve_column
+from oreflow.functions.names import resolve_column, resolve_values
 from oreflow.functions.text import to_double, to_int, to_long, trimmed
 from oreflow.operators import analytics, verify
 from oreflow.operators.dedup import dedup_latest
@@ -18,11 +18,12 @@ from oreflow.operators.dimension import label_series
 from oreflow.operators.quality import Checked, Expectation, apply_expectations, key_repeats
 from oreflow.plans import questions_sql
 from oreflow.sinks.landing import snapshot_of
-from oreflow.sinks.publish import publish, read_published
+from oreflow.sinks.publish import publish, published_version, read_published, rule_history
+from oreflow.sinks.tables import describe_table
 from oreflow.sources.delimited import require_headers, stream_delimited
-from oreflow.sources.documents import stream_envelopes, stream_lines
+from oreflow.sources.documents import pinned_records, stream_lines, stream_open_envelopes
 from oreflow.sources.lineage import with_lineage
-from oreflow.streaming.ingest import await_all, start_available_now
+from oreflow.streaming.ingest import await_all, read_rule_counts, start_checked
 
 # --- rules of each layer ---
 BRONZE_OBSERVATION_RULES = [
@@ -77,12 +78,13 @@ def silver_series(bronze_series: DataFrame, lookups: dict[str, DataFrame]) -> Ch
 
 def silver_population(bronze: DataFrame, keys: tuple[str, ...] = ("year",)) -> Checked:
     """Year, population and, where the source has it, nation, whatever the case of the names."""
-    year = resolve_column(bronze, "Year", "ID Year", "ID_Year")
-    population = resolve_column(bronze, "Population")
-    nation = resolve_column(bronze, "Nation", "ID Nation", "Nation ID", "ID_Nation", "Nation_ID", required=False)
-    columns = [to_int(year).alias("year"), to_long(population).alias("population")]
-    if nation:
-        columns.append(F.col(f"`{nation}`").alias("nation"))
+    names = layouts.POPULATION_FIELDS
+    columns = [
+        to_int(resolve_values(bronze, *names["Year"])).alias("year"),
+        to_long(resolve_values(bronze, *names["Population"])).alias("population"),
+    ]
+    if resolve_column(bronze, *names["Nation"], required=False):
+        columns.append(resolve_values(bronze, *names["Nation"]).alias("nation"))
     once = dedup_latest(bronze.select(*columns), list(keys))
     return apply_expectations(once, SILVER_POPULATION_RULES)
 
@@ -96,6 +98,7 @@ class Question:
     sql: DataFrame
     dataframe: DataFrame
     rules: list[Expectation]
+    table_rules: dict[str, str]  # aggregate predicates over the whole answer
     tolerance: float | None = 1e-9  # of floating columns: sums and means depend on partition order in their last bits
 
     @property
@@ -115,18 +118,27 @@ def questions(
             questions_sql.range_stats_sql(population, start, end),
             analytics.range_stats(population, start, end),
             stats_rules,
+            {"one_row": "count(*) = 1"},
         ),
         Question(
             "gold_bls_best_year_per_series",
             questions_sql.best_period_sql(observations, series),
             analytics.best_period(observations, series),
             analytics.BEST_PERIOD_RULES,
+            {
+                "one_row_per_series": "count(*) = count(DISTINCT series_id)",
+                "series_and_year_known": "count_if(series_id IS NULL OR best_year IS NULL) = 0",
+            },
         ),
         Question(
             f"gold_{series_id.lower()}_{period.lower()}_population",
             questions_sql.series_context_sql(observations, population, series_id, period),
             analytics.series_context(observations, population, series_id, period),
             analytics.SERIES_CONTEXT_RULES,
+            {
+                "one_row_per_year": "count(*) = count(DISTINCT year)",
+                "year_and_value_known": "count_if(year IS NULL OR value IS NULL) = 0",
+            },
         ),
     ]
 
@@ -151,18 +163,40 @@ class Warehouse:
         return f"{self.root}/{layer}/{table}"
 
     def bronze(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("bronze", table))
+        return self.spark.read.parquet(self.path("bronze", table)).drop("batch")
+
+    def bronze_counts(self, table: str) -> DataFrame:
+        """What each rule of a bronze table has found in all batches so far."""
+        return read_rule_counts(self.spark, self.path("_metrics", table))
 
     def read(self, layer: str, table: str) -> DataFrame:
         return read_published(self.spark, self.path(layer, table))
 
-    def append(self, table: str, stream: DataFrame) -> StreamingQuery:
-        return start_available_now(stream, self.path("bronze", table), self.path("_checkpoints", table), (VERSION,))
+    def append(self, table: str, checked: Checked) -> StreamingQuery:
+        places = (self.path(layer, table) for layer in ("bronze", "_metrics", "_checkpoints"))
+        return start_checked(checked, *places, (VERSION,))
 
-    def publish(self, layer: str, table: str, checked: Checked, cluster_by: tuple[str, ...] = ()) -> DataFrame:
-        publish(checked, self.path(layer, table), cluster_by)
+    def publish(
+        self, layer: str, table: str, checked: Checked, cluster_by: tuple[str, ...] = (), table_rules: dict[str, str] | None = None
+    ) -> DataFrame:
+        publish(checked, self.path(layer, table), cluster_by, table_rules)
         return self.read(layer, table)
 
+    def history(self, layer: str, table: str) -> DataFrame:
+        """What each rule found in each version of a published table."""
+        return rule_history(self.spark, self.path(layer, table))
+
+    def describe(self, layer: str, table: str, name: str | None = None) -> DataFrame:
+        """Enter the newest version in the catalog, with the comments of ``layouts``."""
+        if layer == "bronze":
+            path = self.path(layer, table)
+        else:
+            root = self.path(layer, table)
+            path = f"{root}/data/version={published_version(self.spark, root)}"
+        columns = set(self.spark.read.parquet(path).columns)
+        comments = {c: text for c, text in layouts.COLUMN_COMMENTS.items() if c in columns}
+        return describe_table(self.spark, name or table, path, layouts.TABLE_COMMENTS.get(table, ""), comments)
+
 
 def run_bronze(house: Warehouse, landing: str, population_landing: str) -> None:
     """Append what is new in the landing folders, all tables at the same time.
@@ -179,9 +213,11 @@ def run_bronze(house: Warehouse, landing: str, population_landing: str) -> None:
         columns = require_headers(spark, versioned(landing, name), columns)
         return versioned_lineage(stream_delimited(spark, versioned(landing, name), layouts.text_schema(columns)))
 
-    envelopes = stream_envelopes(spark, versioned(population_landing, layouts.POPULATION_FILE), layouts.POPULATION_RECORD)
+    # records keep the fields they have: names and types are settled afterwards, record by record
+    envelopes = stream_open_envelopes(spark, versioned(population_landing, layouts.POPULATION_FILE))
     lineage = ["_ingested_at", "_source_file", VERSION]
-    records = versioned_lineage(envelopes).select(F.explode("data").alias("record"), *lineage).select("record.*", *lineage)
+    records = versioned_lineage(envelopes).select(F.explode("data").alias("record"), *lineage)
+    records = pinned_records(records, layouts.POPULATION_FIELDS)
     tables = {
         "bronze_bls_data": (delimited(layouts.CURRENT_FILE, layouts.OBSERVATION_COLUMNS), BRONZE_OBSERVATION_RULES),
         "bronze_bls_data_alldata": (delimited(layouts.ALL_DATA_FILE, layouts.OBSERVATION_COLUMNS), []),
@@ -190,7 +226,7 @@ def run_bronze(house: Warehouse, landing: str, population_landing: str) -> None:
         "bronze_population": (records, BRONZE_POPULATION_RULES),
         **{"bronze_bls_" + name.replace(".", "_"): (delimited(name), []) for name in layouts.LOOKUP_FILES},
     }
-    await_all([house.append(name, apply_expectations(scan, rules).valid) for name, (scan, rules) in tables.items()])
+    await_all([house.append(name, apply_expectations(scan, rules)) for name, (scan, rules) in tables.items()])
 
 
 def current_snapshot(bronze: DataFrame) -> DataFrame:
@@ -236,9 +272,9 @@ def run_gold(house: Warehouse, **asked) -> None:
     """Both forms of each question, then their comparison; any broken fail rule stops the run."""
     silver = [house.read("silver", t) for t in ("silver_bls_data", "silver_bls_series", "silver_population")]
     for number, question in enumerate(questions(*silver, **asked), 1):
-        primary = house.publish("gold", question.name, apply_expectations(question.sql, question.rules))
-        twin = house.publish(
-            "gold", f"{question.name}_pyspark_alt", apply_expectations(question.dataframe, question.rules)
+        primary, twin = (
+            house.publish("gold", name, apply_expectations(form, question.rules), table_rules=question.table_rules)
+            for name, form in ((question.name, question.sql), (f"{question.name}_pyspark_alt", question.dataframe))
         )
         difference = verify.diff_count(primary, twin, question.tolerance)
         house.publish("gold", f"gold_verification_q{number}", apply_expectations(difference, [AGREEMENT_RULE]))

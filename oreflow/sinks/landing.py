@@ -7,6 +7,8 @@ readers take name and version back from the path of the row.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +36,14 @@ def snapshot_of(path: Column) -> dict[str, Column]:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """One row: a hash of the rows that does not depend on their order."""
+    """One row: a hash of the column names and of the rows, which have no order.
+
+    For rows that come from a file, ``content_digest`` of its bytes tells more.
+    """
     columns = [F.col(f"`{c}`") for c in df.columns]
     # the hash passes over NULLs, so where they are is hashed as well
     row_hash = F.xxhash64(*columns, *[c.isNull() for c in columns]).cast("decimal(38,0)")
-    mixed = F.concat_ws("|", F.count(F.lit(1)), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string"))
+    mixed = F.concat_ws("|", F.lit(json.dumps(df.columns)), F.count(F.lit(1)), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string"))
     return df.agg(content_hash(F.sha2(mixed, 256)).alias("content_hash"))
 
 
@@ -56,16 +61,19 @@ def newest_landed(spark: SparkSession, root: str, name: str) -> tuple[int, str]
     return (newest["version"], newest["content_hash"]) if newest else None
 
 
-def land_snapshot(df: DataFrame, root: str, name: str, kind: str = "delimited", sep: str = "\t") -> bool:
-    """Write a snapshot as the next version, unless the newest one has the same rows.
+def land_snapshot(
+    df: DataFrame, root: str, name: str, kind: str = "delimited", sep: str = "\t", digest: str | None = None
+) -> bool:
+    """Write a snapshot as the next version, unless the newest one has the same content.
 
-    Returns whether it was written. An earlier version's content may come back:
-    only the newest one counts as unchanged. A run that dies half-way leaves no
-    log entry, and the next one writes the version again. ``kind`` is
-    ``delimited`` or ``text``.
+    ``digest`` is that of the bytes the rows were read from; without it the rows and
+    column names are compared. Returns whether it was written. An earlier
+    version's content may come back: only the newest one counts as unchanged. A
+    run that dies half-way leaves no log entry, and the next one writes the
+    version again. ``kind`` is ``delimited`` or ``text``.
     """
     spark = df.sparkSession
-    hash16 = fingerprint(df).first()["content_hash"]
+    hash16 = digest[:HASH_LENGTH] if digest else fingerprint(df).first()["content_hash"]
     newest = newest_landed(spark, root, name)
     if newest and newest[1] == hash16:
         return False

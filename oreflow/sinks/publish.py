@@ -3,7 +3,7 @@
 Layout below a table's root::
 
     data/version=N        the rows
-    metrics/version=N     what the warn and fail rules found in them
+    metrics/version=N     what the rules found in them, and the rows that drop rules took out
     published/version=N   a marker, written only once version N has passed
 
 A reader takes the newest marked version, so it never sees a version that is
@@ -12,16 +12,18 @@ being written or that failed, and a table can be rebuilt from itself.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.operators.quality import Checked, violations
+from oreflow.operators.quality import Checked, apply_expectations, assertions, counted_rules, rule_counts, violations
 from oreflow.session import only_absent
 
 
 class ExpectationFailed(RuntimeError):
-    """Fail rules were violated; nothing was published."""
+    """Fail or table rules were violated; nothing was published."""
 
 
 def published_version(spark: SparkSession, root: str) -> int | None:
@@ -50,30 +52,50 @@ def mark_published(spark: SparkSession, root: str, version: int) -> None:
     )
 
 
-def publish(checked: Checked, root: str, cluster_by: tuple[str, ...] = ()) -> int:
-    """Write the valid rows as the next version and make it current if every fail rule holds.
+def publish(
+    checked: Checked, root: str, cluster_by: tuple[str, ...] = (), table_rules: dict[str, str] | None = None
+) -> int:
+    """Write the valid rows as the next version and make it current if every fail and table rule holds.
 
     ``cluster_by`` sorts the table by range, so that a filter on its first
     columns skips files and row groups. The columns should tell rows apart
     well: a value with very many rows is then still cut into several ranges.
 
-    The rules are judged on what was stored, by one aggregate that reads only
-    the columns they name. Raising inside the plan would not do: Spark may
-    prune or reorder such an expression away.
+    Rows that drop rules take out are counted on their way, by ``observe``, behind
+    the last shuffle: there each row passes once. The other rules are judged on what
+    was stored, by one aggregate that reads only the columns they name. Raising
+    inside the plan would not do: Spark may prune or reorder such an expression
+    away. ``table_rules`` are aggregate predicates over the whole staged version,
+    such as ``count(*) = 1``. Metrics are written before the marker, under the
+    version's name, so a run that is repeated replaces them.
     """
     spark = checked.df.sparkSession
     version = (published_version(spark, root) or 0) + 1
     target = f"{root}/data/version={version}"
-    rows = checked.valid
+    drops = [rule for rule in checked.rules if rule.action == "drop"]
+    rows = checked.df.repartitionByRange(*cluster_by) if cluster_by else checked.df
+    dropped = Observation()
+    if drops:
+        rows = rows.observe(dropped, *rule_counts(drops))
+    rows = apply_expectations(rows, drops).valid
     if cluster_by:
-        rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        rows = rows.sortWithinPartitions(*cluster_by)
     rows.write.mode("overwrite").parquet(target)
+    found = [counted_rules(spark, dropped.get, drops)] if drops else []
     judged = [rule for rule in checked.rules if rule.action != "drop"]
+    stored = read_version(spark, root, version)
     if judged:
+        found.append(violations(stored, judged))
+    if table_rules:
+        broken = F.when(F.col("passed"), 0).otherwise(1).cast("bigint")
+        found.append(assertions(stored, table_rules).select(
+            F.col("check_name").alias("rule"), F.lit("table").alias("action"), F.lit(1).cast("bigint").alias("rows"), broken.alias("violations")
+        ))
+    if found:
         metrics = f"{root}/metrics/version={version}"
-        violations(read_version(spark, root, version), judged).write.mode("overwrite").parquet(metrics)
+        reduce(DataFrame.unionByName, found).coalesce(1).write.mode("overwrite").parquet(metrics)
         # one row per rule at most
-        broken = spark.read.parquet(metrics).filter("action = 'fail' AND violations > 0").collect()
+        broken = spark.read.parquet(metrics).filter("action IN ('fail', 'table') AND violations > 0").collect()
         if broken:
             faults = ", ".join(f"{row['rule']}: {row['violations']} of {row['rows']} rows" for row in broken)
             raise ExpectationFailed(f"{root} not published ({faults})")

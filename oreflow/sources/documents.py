@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,6 +38,40 @@ def stream_envelopes(
     return (reader.option("pathGlobFilter", glob) if glob else reader).json(path)
 
 
+#: A record of any fields, each value as text: numbers as they are written, nested values as JSON.
+OPEN_RECORD = "MAP<STRING, STRING>"
+
+
+def read_open_envelopes(spark: SparkSession, path: str | list[str], field: str = "data", glob: str | None = None) -> DataFrame:
+    """Whole-file JSON documents whose records keep whatever fields they have."""
+    reader = spark.read.option("multiLine", "true").schema(f"`{field}` ARRAY<{OPEN_RECORD}>")
+    return (reader.option("pathGlobFilter", glob) if glob else reader).json(path)
+
+
+def stream_open_envelopes(spark: SparkSession, path: str, field: str = "data", glob: str | None = None) -> DataFrame:
+    reader = spark.readStream.option("multiLine", "true").schema(f"`{field}` ARRAY<{OPEN_RECORD}>")
+    return (reader.option("pathGlobFilter", glob) if glob else reader).json(path)
+
+
+def record_field(record: str, *candidates: str) -> Column:
+    """The first of the fields that this record has a value for, in any case of its name.
+
+    Names are resolved record by record: those of one stream may differ.
+    """
+    entries = F.map_entries(record)
+
+    def named(name: str) -> Column:
+        return F.get(F.filter(entries, lambda e: (F.lower(e["key"]) == name.lower()) & e["value"].isNotNull()), F.lit(0))["value"]
+
+    return F.coalesce(*[named(name) for name in candidates])
+
+
+def pinned_records(df: DataFrame, fields: dict[str, tuple[str, ...]], record: str = "record") -> DataFrame:
+    """Open records as text columns with fixed names; the record stays beside them under ``_record``."""
+    others = [F.col(f"`{c}`") for c in df.columns if c != record]
+    return df.select(*[record_field(record, *names).alias(name) for name, names in fields.items()], *others, F.col(record).alias("_record"))
+
+
 def explode_records(df: DataFrame, field: str = "data") -> DataFrame:
     """One row per array element, its fields as columns. An empty or NULL array gives no row."""
     return df.select(F.explode(field).alias("record")).select("record.*")

@@ -15,8 +15,8 @@ from oreflow.plans.medallion import (
 from oreflow.session import work_dir
 from oreflow.sinks.landing import land_snapshot, write_delimited
 from oreflow.sources import (
-    explode_records, header_drift, read_delimited, read_envelopes, read_lines, read_lookups, row_widths,
-    stream_delimited, with_lineage,
+    explode_records, header_drift, pinned_records, read_delimited, read_envelopes, read_lines, read_lookups, row_widths,
+    stream_delimited, stream_open_envelopes, with_lineage,
 )
 from oreflow.streaming import run_available_now
 
@@ -245,6 +245,30 @@ def bronze_json_envelope(spark, sf_dir):
     return explode_records(read_envelopes(spark, f"{folder}/year=*", layouts.POPULATION_RECORD))
 
 
+@register("stream_open_records", f"WITH {NATION_TOTALS_SQL} SELECT year, nation, population FROM nations WHERE population > 0")
+def stream_open_records(spark, sf_dir):
+    """A stream whose records spell their fields in three ways, some with numbers and some with text; none is lost."""
+    root = work_dir(spark, "open-records")
+    totals = nation_totals(spark, sf_dir)
+    year, nation, population = (F.col(c) for c in ("year", "nation", "population"))
+    spellings = [
+        F.struct(year.alias("Year"), nation.alias("Nation"), population.alias("Population")),
+        F.struct(year.cast("string").alias("ID Year"), nation.alias("Nation ID"), population.cast("string").alias("population")),
+        F.struct(F.array(year).alias("other"), population.alias("POPULATION"), nation.alias("nation"), year.alias("year")),
+    ]
+    record = F.lit(None).cast("string")
+    for i, spelling in enumerate(spellings):
+        record = F.when(F.pmod(F.xxhash64("nation"), F.lit(3)) == i, F.to_json(spelling)).otherwise(record)
+    # a list has a record per nation
+    lists = totals.groupBy("year").agg(F.array_join(F.collect_list(record), ",").alias("records"))
+    documents = lists.select("year", F.concat(F.lit('{"data": ['), "records", F.lit("]}")).alias("value"))
+    documents.repartition("year").write.partitionBy("year").text(f"{root}/in")
+    envelopes = stream_open_envelopes(spark, f"{root}/in/year=*")
+    records = pinned_records(envelopes.select(F.explode("data").alias("record")), layouts.POPULATION_FIELDS)
+    run_available_now(records, f"{root}/bronze", f"{root}/checkpoint")
+    return silver_population(spark.read.parquet(f"{root}/bronze"), keys=("year", "nation")).valid
+
+
 @register("bronze_schema_drift", """WITH h(file, column_name, expected_position, actual_position, status) AS (VALUES
         ('pr.data.0.Current', 'series_id', 1, 1, 'ok'), ('pr.data.0.Current', 'year', 2, 2, 'ok'),
         ('pr.data.0.Current', 'period', 3, 3, 'ok'), ('pr.data.0.Current', 'value', 4, 4, 'ok'),

@@ -9,7 +9,9 @@ from oreflow.functions.links import extract_links, first_links, is_data_file
 from oreflow.operators.content import content_latest, content_versions, envelope_records, envelope_status
 from oreflow.operators.manifest import MANIFEST_SCHEMA, merge_manifest, plan_pull, run_summary, to_pull
 from oreflow.session import work_dir
+from oreflow.sinks.landing import land_snapshot, snapshot_of, write_delimited
 from oreflow.sinks.tables import ensure_table
+from oreflow.sources import content_digest, read_delimited
 
 CATALOGUE = Catalogue()
 register = CATALOGUE.register
@@ -198,3 +200,21 @@ def envelope_validate(spark, sf_dir):
     return answers.select("c_custkey", payload.alias("payload")).select(
         "c_custkey", envelope_status(F.col("payload")).alias("status"), envelope_records(F.col("payload")).alias("records")
     )
+
+
+@register("landing_byte_revisions", "SELECT CAST(v AS BIGINT) AS version, n AS rows FROM (SELECT count(*) AS n FROM orders), (SELECT unnest(range(1, 6)) AS v)")
+def landing_byte_revisions(spark, sf_dir):
+    """One file set under one name: as it was, unchanged, with another header, order and encoding, and as it was again."""
+    root = work_dir(spark, "byte-revisions")
+    orders = table(spark, sf_dir, "orders").select(*[F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_orderdate", "o_totalprice")])
+    write_delimited(orders, f"{root}/raw/plain")
+    write_delimited(orders.withColumnRenamed("o_totalprice", "price"), f"{root}/raw/header")
+    write_delimited(orders.orderBy(F.col("o_orderkey").cast("bigint").desc()), f"{root}/raw/order")
+    orders.write.options(sep="\t", header="true", encoding="UTF-16").csv(f"{root}/raw/encoding")
+    for name in ("plain", "plain", "header", "order", "encoding", "plain"):
+        path = f"{root}/raw/{name}"
+        rows = orders if name == "encoding" else read_delimited(spark, path)
+        land_snapshot(rows, f"{root}/landed", "orders.tsv", digest=content_digest(spark, path))
+    landed = spark.read.csv(f"{root}/landed/orders.tsv__*", sep="\t", header=True, schema="a STRING, b STRING, c STRING")
+    version = snapshot_of(F.col("_metadata.file_path"))["version"]
+    return landed.groupBy(version.alias("version")).agg(F.count(F.lit(1)).alias("rows"))

@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 ACTIONS = ("warn", "drop", "fail")
@@ -110,6 +111,17 @@ def rule_counts(rules: Iterable[Expectation]) -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), F.count_if(kept).alias("kept"), *found]
 
 
+def observed(seen: Observation, df: DataFrame, aggregates: list[Column]) -> dict:
+    """What an observation of ``df`` has found; counted anew where the optimizer left nothing to observe.
+
+    A filter that folds to false empties the plan, and the observation goes with it.
+    """
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return df.agg(*aggregates).first().asDict()
+
+
 def counted_rules(spark: SparkSession, counts: dict[str, int], rules: Iterable[Expectation]) -> DataFrame:
     """What ``rule_counts`` observed as one row per rule."""
     rows = [

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.operators.quality import Checked, apply_expectations, assertions, counted_rules, rule_counts, violations
+from oreflow.operators.quality import Checked, apply_expectations, assertions, counted_rules, observed, rule_counts, violations
 from oreflow.session import only_absent
 
 
@@ -81,7 +81,7 @@ def publish(
     if cluster_by:
         rows = rows.sortWithinPartitions(*cluster_by)
     rows.write.mode("overwrite").parquet(target)
-    found = [counted_rules(spark, dropped.get, drops)] if drops else []
+    found = [counted_rules(spark, observed(dropped, checked.df, rule_counts(drops)), drops)] if drops else []
     judged = [rule for rule in checked.rules if rule.action != "drop"]
     stored = read_version(spark, root, version)
     if judged:

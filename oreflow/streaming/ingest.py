@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from oreflow.operators.quality import Checked, apply_expectations, counted_rules, rule_counts
+from oreflow.operators.quality import Checked, apply_expectations, counted_rules, observed, rule_counts
 
 
 def start_available_now(
@@ -38,7 +38,7 @@ def start_checked(
         writer = apply_expectations(rows, checked.rules).valid.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{out}/batch={batch_id}")
         if checked.rules:
-            counts = counted_rules(batch.sparkSession, seen.get, checked.rules)
+            counts = counted_rules(batch.sparkSession, observed(seen, batch, rule_counts(checked.rules)), checked.rules)
             counts.write.mode("overwrite").parquet(f"{metrics}/batch={batch_id}")
 
     query = checked.df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

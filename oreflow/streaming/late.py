@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.operators.dedup import dedup_latest
+from oreflow.operators.quality import observed
 from oreflow.session import only_absent
 
 PROGRESS = "batch BIGINT, rows BIGINT, late BIGINT, kept BIGINT, newest TIMESTAMP"
@@ -64,8 +65,8 @@ def dedup_with_late(stream: DataFrame, target: str, checkpoint: str, keys: list[
         is_late = F.coalesce(at < watermark, F.lit(False))
         seen, left = Observation(), Observation()
         # counted behind no shuffle, so that each row counts once
-        rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(is_late).alias("late"), F.max(at).alias("newest"))
-        rows.filter(is_late).write.mode("overwrite").parquet(f"{target}/late/batch={batch_id}")
+        facts = [F.count(F.lit(1)).alias("rows"), F.count_if(is_late).alias("late"), F.max(at).alias("newest")]
+        batch.observe(seen, *facts).filter(is_late).write.mode("overwrite").parquet(f"{target}/late/batch={batch_id}")
         once = dedup_latest(batch.filter(~is_late), keys, [at.asc_nulls_last()])
         known = _before(spark, f"{target}/kept", batch_id)
         if known is not None and newest is not None:
@@ -75,9 +76,10 @@ def dedup_with_late(stream: DataFrame, target: str, checkpoint: str, keys: list[
                 same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"`_known_{k}`"))
             once = once.join(known, same, "left_anti")
         once.observe(left, F.count(F.lit(1)).alias("kept")).write.mode("overwrite").parquet(f"{target}/kept/batch={batch_id}")
-        counts = seen.get
+        counts = observed(seen, batch, facts)
         latest = max((t for t in (newest, counts.get("newest")) if t is not None), default=None)
-        row = (counts.get("rows", 0), counts.get("late", 0), left.get.get("kept", 0), latest)
+        kept = observed(left, spark.read.parquet(f"{target}/kept/batch={batch_id}"), [F.count(F.lit(1)).alias("kept")])["kept"]
+        row = (counts["rows"], counts["late"], kept, latest)
         progress = spark.createDataFrame([row], PROGRESS.split(", ", 1)[1])
         progress.coalesce(1).write.mode("overwrite").parquet(f"{target}/progress/batch={batch_id}")
 

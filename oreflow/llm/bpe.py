@@ -14,9 +14,11 @@ that begin with it; a word's tokens are read off its path.
 Two tokens may follow one another if the merges turn their joined symbols back
 into these two; a sequence is the BPE encoding if that holds for all neighbours.
 
-Scale: no shuffle. Texts stream through the tasks; the words that a task keeps
-are bounded in number (``CACHED_CHUNKS``), a full store starts anew. The
-vocabulary file is read once by the driver and sent as it is: its size is checked
+Decoding starts from the ids: each id's token is looked up and they are joined.
+
+Scale: no shuffle. Texts stream through the tasks; what a task keeps of words is
+bounded in number and bytes (``CACHED_CHUNKS``, ``CACHED_BYTES``, ``MAX_PAIRS``), a
+full store starts anew, and it is dropped at the task's end. The vocabulary file is read once by the driver and sent as it is: its size is checked
 against ``MAX_FILE_BYTES``.
 
 Defined results: a null or empty text, or one of white space alone, has no
@@ -38,11 +40,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.textbytes import slices
+from oreflow.llm.textbytes import NONSPACE, prefix_hash, ranges, slices, span_hash, word_spans
 
 MAX_FILE_BYTES = 64 << 20
-CACHED_CHUNKS = 300_000
-MAX_PAIRS = 1_000_000
+CACHED_CHUNKS = 400_000
+CACHED_BYTES = 96 << 20
+MAX_PAIRS = 100_000
 #: What the files' patterns mean by white space (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _BASE = (-1, "", "")
@@ -88,8 +91,19 @@ class TrieEncoder:
         self.tails = {token[i:] for token in self.vocab for i in range(1, len(token))}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.alone: dict[str, bool] = {}
-        self.known_words: dict[str, tuple[bytes, str]] = {}
-        self.chunks: dict[str, tuple[bytes, str]] = {}
+        self.known_words: dict[str, bytes] = {}
+        self.store = ChunkStore()
+        if any(x.isspace() or len(x.split()) != 1 for x in self.added):
+            raise ValueError("an added token with white space is not cut by this encoder")
+        self.plain = not any(x.isalpha() for x in self.added)  # so letters alone hold no added token
+        # all tokens as bytes, a blank behind each; -1 is the size of an id without a token
+        last = max(self.names)
+        self.token_size, self.token_start = np.full(last + 1, -1, np.int64), np.zeros(last + 1, np.int64)
+        parts = {i: self.names[i].encode() + b" " for i in sorted(self.names)}
+        numbers = np.fromiter(parts, np.int64, len(parts))
+        sizes = np.fromiter((len(x) for x in parts.values()), np.int64, len(parts))
+        self.token_size[numbers], self.token_start[numbers] = sizes - 1, np.cumsum(sizes) - sizes
+        self.token_bytes = np.frombuffer(b"".join(parts.values()), np.uint8)
 
     def _symbols(self, token: str) -> list[str]:
         if token.endswith(self.suffix) and token != self.suffix:
@@ -184,6 +198,21 @@ class TrieEncoder:
         """Tokens joined by blanks, as the library does without a decoder; ids of no token are left out."""
         return " ".join([self.names[i] for i in ids if i in self.names])
 
+    def decode_texts(self, ids: np.ndarray, edges: np.ndarray) -> pa.Array:
+        """The decoded text of each range ``edges[k] : edges[k + 1]`` of ids."""
+        known = (ids >= 0) & (ids < len(self.token_size))
+        known[known] = self.token_size[ids[known]] >= 0
+        edges = np.concatenate([[0], np.cumsum(known)])[edges]
+        ids = ids[known]
+        size = self.token_size[ids] + 1  # a blank behind each token but the last
+        lasts = edges[1:][np.diff(edges) > 0] - 1
+        size[lasts] -= 1
+        out = self.token_bytes[ranges(self.token_start[ids], size)]
+        offsets = np.concatenate([[0], np.cumsum(size)])[edges]
+        return pa.Array.from_buffers(
+            pa.large_string(), len(edges) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(out))]
+        )
+
     def _cut(self, text: str) -> list[str]:
         """Normalised text without added tokens, cut at white space."""
         if not text.isascii():
@@ -202,40 +231,96 @@ class TrieEncoder:
             out.extend([" " + piece] if i % 2 else self._cut(piece))
         return out
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Encodes the chunks that are not in store."""
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids (int32 bytes) of texts without ASCII white space."""
         table, known, vocab = self.bytes, self.known_words, self.vocab
-        if len(known) > CACHED_CHUNKS:
-            known.clear()
-        cut: dict[str, list[str]] = {}
+        cut: list[list[str]] = []
         for chunk in chunks:
-            if chunk[0] == " ":
-                token = chunk[1:]
-                self.chunks[chunk] = (array("i", [self.added[token]]).tobytes(), token)
-                continue
-            words = [chunk] if chunk.isalpha() else self.words.findall(chunk)
-            cut[chunk] = [w if w.isascii() and w.isprintable() else "".join([table[b] for b in w.encode()]) for w in words]
-        new = {w for words in cut.values() for w in words if w not in known}
+            words: list[str] = []
+            for piece in [chunk] if self.plain and chunk.isascii() and chunk.isalpha() and chunk.islower() else self._pieces(chunk):
+                if piece[0] == " ":
+                    words.append(piece)
+                    known[piece] = array("i", [self.added[piece[1:]]]).tobytes()
+                    continue
+                found = [piece] if piece.isalpha() else self.words.findall(piece)
+                words += [w if w.isascii() and w.isprintable() else "".join([table[b] for b in w.encode()]) for w in found]
+            cut.append(words)
+        new = {w for words in cut for w in words if w not in known}
         for word, tokens in self.encode_words(new).items():
-            known[word] = (array("i", [vocab[t] for t in tokens]).tobytes(), " ".join(tokens))
-        for chunk, words in cut.items():
-            found = [known[w] for w in words]
-            self.chunks[chunk] = found[0] if len(found) == 1 else (b"".join([x[0] for x in found]), " ".join([x[1] for x in found]))
+            known[word] = array("i", [vocab[t] for t in tokens]).tobytes()
+        return [known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words]) for words in cut]
+
+    def _numbers(self, chunks: list[bytes]) -> np.ndarray:
+        """Numbers of the chunks in store; those that are not in it are encoded first."""
+        store = self.store
+        new = [chunk for chunk in chunks if chunk not in store.number]
+        if len(store.number) + len(new) > CACHED_CHUNKS or store.held > CACHED_BYTES or len(self.known_words) > CACHED_CHUNKS:
+            self.forget()
+            store, new = self.store, chunks
+        if new:
+            store.add(new, self._encode_chunks([chunk.decode() for chunk in new]))
+        number = store.number
+        return np.fromiter((number[chunk] for chunk in chunks), np.int64, len(chunks))
+
+    def forget(self) -> None:
+        """Leaves the vocabulary and drops what was learnt from texts."""
+        self.store = ChunkStore()
+        self.known_words.clear()
+        self.pairs.clear()
+
+    def encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts and each text's first one (one entry more than texts).
+
+        Texts are cut at ASCII white space, which no word, added token or composed
+        character crosses. Each different chunk of the slice is looked up once.
+        """
+        start, end, first = word_spans(data, offsets, NONSPACE)
+        if not len(start):
+            return np.empty(0, np.int32), first
+        kinds, which = different_spans(data, start, end)
+        raw = data.tobytes()
+        numbers = self._numbers([raw[a:b] for a, b in zip(start[kinds].tolist(), end[kinds].tolist())])[which]
+        store = self.store
+        count = store.sizes[numbers]
+        ids = store.ids[ranges(store.starts[numbers], count)]
+        return ids, np.concatenate([[0], np.cumsum(count)])[first]
 
     def encode_texts(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Ids (int32 bytes) and decoded text of each text."""
-        cut = [self._pieces(text) for text in texts]
-        different = set().union(*cut) if cut else set()
-        store = self.chunks
-        if len(store) > CACHED_CHUNKS:
-            store.clear()
-        self._learn({c for c in different if c not in store})
-        ids, decoded = [], []
-        for chunks in cut:
-            found = [store[c] for c in chunks]
-            ids.append(b"".join([x[0] for x in found]))
-            decoded.append(" ".join([x[1] for x in found if x[1]]))
-        return ids, decoded
+        parts = [text.encode() for text in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)]).astype(np.int64)
+        ids, edges = self.encode_slice(np.frombuffer(b"".join(parts), np.uint8), offsets)
+        return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:])], self.decode_texts(ids, edges).to_pylist()
+
+
+class ChunkStore:
+    """Ids of chunks, one behind the other in a growing array."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids = np.empty(0, np.int32)
+        self.held = 0  # bytes, roughly
+
+    def add(self, chunks: list[bytes], ids: list[bytes]) -> None:
+        known = len(self.number)
+        self.number.update(zip(chunks, range(known, known + len(chunks))))
+        sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+        ends = len(self.ids) + np.cumsum(sizes)
+        self.starts, self.sizes = np.concatenate([self.starts, ends - sizes]), np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), np.int32)])
+        self.held += sum(len(x) for x in chunks) + 100 * len(chunks) + 4 * int(sizes.sum())
+
+
+def different_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span of each different byte string, and for every span which of these it equals."""
+    _, kinds, which = np.unique(span_hash(prefix_hash(data), start, end), return_index=True, return_inverse=True)
+    size, twin = end - start, kinds[which]
+    if (size == size[twin]).all() and (data[ranges(start, size)] == data[ranges(start[twin], size)]).all():
+        return kinds, which
+    raw, number = data.tobytes(), {}  # two strings share a hash
+    which = np.array([number.setdefault(raw[a:b], len(number)) for a, b in zip(start.tolist(), end.tolist())], np.int64)
+    return np.unique(which, return_index=True)[1], which
 
 
 _encoders: dict[str, TrieEncoder] = {}
@@ -244,20 +329,24 @@ _encoders: dict[str, TrieEncoder] = {}
 def _encoder(content: str) -> TrieEncoder:
     key = hashlib.sha256(content.encode()).hexdigest()
     if key not in _encoders:
+        _encoders.clear()
         _encoders[key] = TrieEncoder(content)
     return _encoders[key]
 
 
 def _encode_batches(batches: Iterable[pa.RecordBatch], content: str) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(content)
-    for part in slices(batches):
-        texts = part.column("text").fill_null("").to_pylist()
-        ids, decoded = encoder.encode_texts(texts)
-        edges = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-        flat = np.frombuffer(b"".join(ids), np.int32)
-        columns = [(name, part.column(name)) for name in part.batch.schema.names if name != "text"]
-        columns += [("ids", pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))), ("decoded", pa.array(decoded, pa.string()))]
-        yield pa.RecordBatch.from_arrays([values for _, values in columns], [name for name, _ in columns])
+    try:
+        for part in slices(batches):
+            ids, edges = encoder.encode_slice(part.data, part.offsets)
+            columns = [(name, part.column(name)) for name in part.batch.schema.names if name != "text"]
+            columns += [
+                ("ids", pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids))),
+                ("decoded", encoder.decode_texts(ids, edges).cast(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays([values for _, values in columns], [name for name, _ in columns])
+    finally:  # the worker lives on and serves other stages
+        encoder.forget()
 
 
 def encode_documents(documents: DataFrame, tokenizer_path: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

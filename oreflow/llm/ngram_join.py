@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.llm.buckets import bucket_count, packed, split_key, unpacked
-from oreflow.llm.shared import checkpointed, connected_components
+from oreflow.llm.shared import checkpointed, checkpointed_narrow, connected_components
 from oreflow.llm.textbytes import LOWER, NONSPACE, Slice, mix, prefix_hash, ranges, slices, span_hash, word_spans
 
 ENUMERATE_UP_TO = 32
@@ -394,7 +394,7 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
     stars = groups.mapInArrow(_star_pairs, "b long, a long").distinct()
     distance = sum(F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(4))
     total = F.col("a_n_shingles") + F.col("b_n_shingles")
-    tested = checkpointed(
+    tested = checkpointed_narrow(
         stars.join(of["a"], "a").join(of["b"], "b").filter(
             (F.least("a_n_shingles", "b_n_shingles") * rule.denominator
              >= rule.numerator * F.greatest("a_n_shingles", "b_n_shingles"))
@@ -413,8 +413,8 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
         )
         return both.mapInArrow(lambda batches: _verify(batches, rule), "b long, a long")
 
-    links = checkpointed(verified(tested))
-    components = checkpointed(connected_components(links))
+    links = checkpointed_narrow(verified(tested))
+    components = checkpointed_narrow(connected_components(links))
     for forest in (True, False):  # first the nearest pairs that could join components, then every pair left
         placed = larger.join(components, "node", "left").select(
             "signature", "node", F.coalesce("component", "node").alias("component")
@@ -423,11 +423,11 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
         unsettled = placed.join(spread.filter("low < high").select("signature"), "signature", "left_semi")
         rows = unsettled.join(nodes.drop("doc_id"), "node").withColumn("bucket", F.shiftright("signature", 32))
         more = rows.groupBy("bucket").applyInArrow(_pairs_of(rule, forest), "b long, a long").distinct()
-        more = checkpointed(more.join(tested, ["b", "a"], "left_anti"))
-        found = checkpointed(verified(more))
+        more = checkpointed_narrow(more.join(tested, ["b", "a"], "left_anti"))
+        found = checkpointed_narrow(verified(more))
         if not found.isEmpty():
             links, tested = links.unionByName(found), tested.unionByName(more)
-            components = checkpointed(connected_components(links))
+            components = checkpointed_narrow(connected_components(links))
 
     ids = nodes.select("node", "doc_id").join(components, "node")
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -20,6 +20,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Narrow rows (some numbers each) that make a partition worth a task of its own.
+ROWS_PER_PARTITION = 200_000
+
+
+def checkpointed_narrow(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed, in as many partitions as its narrow rows fill: further shuffles write no files for empty ones."""
+    kept = checkpointed(df)
+    return kept.coalesce(1 + kept.count() // ROWS_PER_PARTITION)
+
+
 def held_out(doc_id: Column | str) -> Column:
     """Rows kept out of training: crc32 of the id as text, modulo 5, is 0. A null id is held out."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -45,7 +55,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     hot nodes only make a skewed join, which Spark splits.
     """
     pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs = checkpointed(pairs)
+    pairs = checkpointed_narrow(pairs)
     seen = None
     for _ in range(rounds):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -57,7 +67,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("low").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")
         ).select("e.*").filter("a <> b").distinct()
-        pairs = checkpointed(small)
+        pairs = checkpointed_narrow(small)
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == seen:
             break

@@ -9,7 +9,10 @@ from oreflow.functions.text import trimmed
 from oreflow.plans.batch_run import run_batch
 from oreflow.plans.landing_run import land_folder, load_manifest
 from oreflow.plans.medallion import Warehouse, require_unique, run_all, run_bronze, run_silver
+from oreflow.operators import analytics
+from oreflow.plans import medallion
 from oreflow.sinks.publish import ExpectationFailed
+from oreflow.sinks.tables import table_comments
 
 OBS_HEADER = "series_id        \tyear\tperiod\t       value\tfootnote_codes"
 
@@ -89,6 +92,28 @@ def test_first_run(spark, world):
     assert [gold(house, f"gold_verification_q{n}") for n in (1, 2, 3)] == [[(0,)]] * 3
 
 
+def test_rules_of_every_layer_are_counted(spark, world):
+    house = world["house"]
+    counts = {r.rule: (r.action, r.rows, r.violations) for r in house.bronze_counts("bronze_bls_data").collect()}
+    n = len(world["observations"])
+    assert counts == {
+        "has_series_id": ("drop", n, 0), "has_year": ("drop", n, 0), "has_period": ("drop", n, 0), "has_value": ("warn", n, 0),
+    }
+    silver = {r.rule: (r.action, r.rows, r.violations) for r in house.history("silver", "silver_bls_data").collect()}
+    assert silver["valid_period"] == ("drop", n, 1) and silver["has_value"] == ("warn", n - 1, 1)
+    answers = {r.rule: r.violations for r in house.history("gold", "gold_bls_best_year_per_series").collect()}
+    assert answers["one_row_per_series"] == 0 == answers["series_and_year_known"]
+
+
+def test_tables_are_described_in_the_catalog(spark, world):
+    house = world["house"]
+    house.describe("gold", "gold_population_stats", "described_stats")
+    house.describe("bronze", "bronze_bls_data", "described_bronze")
+    said = {(r.table_name, r.column_name): r.comment for r in table_comments(spark, ["described_stats", "described_bronze"]).collect()}
+    assert said[("described_stats", "mean_population")] == layouts.COLUMN_COMMENTS["mean_population"]
+    assert said[("described_bronze", None)] == layouts.TABLE_COMMENTS["bronze_bls_data"]
+
+
 def test_second_run_without_changes_adds_nothing(spark, world):
     house = world["house"]
     files, _ = world["land"]()
@@ -135,3 +160,10 @@ def test_missing_year_stops_the_run(spark, world):
     with pytest.raises(ExpectationFailed, match="has_all_years"):
         run_all(world["house"], *world["landing"], start=2013, end=2020)
     assert gold(world["house"], "gold_population_stats", "end_year") == [(2018,)]
+
+
+def test_a_broken_cardinality_stops_the_run(spark, world, monkeypatch):
+    doubled = lambda *args: analytics.best_period(*args).unionAll(analytics.best_period(*args))
+    monkeypatch.setattr(medallion.questions_sql, "best_period_sql", doubled)
+    with pytest.raises(ExpectationFailed, match="one_row_per_series"):
+        run_all(world["house"], *world["landing"])

@@ -93,3 +93,25 @@ def test_a_table_can_be_rebuilt_from_itself(spark, rows, tmp_path):
 def test_reading_an_unpublished_table(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_published(spark, str(tmp_path / "none"))
+
+
+@pytest.mark.parametrize("cluster_by", [(), ("v",)])
+def test_dropped_rows_are_counted_in_each_version(checked, spark, rows, tmp_path, cluster_by):
+    root = str(tmp_path / "t")
+    for _ in range(2):
+        publish(checked, root, cluster_by)
+    found = [("has_key", "drop", 7, 3), ("in_range", "drop", 7, 3), ("placeholder", "warn", 2, 0), ("small", "warn", 2, 1)]
+    got = rows(rule_history(spark, root), "version", "rule", "action", "rows", "violations")
+    assert got == [(version, *row) for version in (1, 2) for row in found]
+    assert rows(read_published(spark, root)) == [("a", 1), ("d", 7)]
+
+
+def test_a_broken_table_rule_publishes_nothing(spark, rows, tmp_path):
+    root = str(tmp_path / "t")
+    once = {"keys_once": "count(*) = count(DISTINCT k)", "has_rows": "count(*) > 0"}
+    publish(apply_expectations(spark.createDataFrame([(1,), (2,)], "k INT"), []), root, table_rules=once)
+    for data, fault in (([(1,), (1,)], "keys_once"), ([], "has_rows")):
+        with pytest.raises(ExpectationFailed, match=fault):
+            publish(apply_expectations(spark.createDataFrame(data, "k INT"), []), root, table_rules=once)
+    assert rows(read_published(spark, root)) == [(1,), (2,)]
+    assert ("has_rows", "table", 1, 1) in rows(rule_history(spark, root), "rule", "action", "rows", "violations")

@@ -49,6 +49,22 @@ def test_tolerance_counts_rows_that_one_side_lacks(spark):
     assert verify.diff_count(left.select("v"), right.select("v"), tolerance=1e-9).first()[0] == 1
 
 
+def test_tolerance_compares_every_row(spark):
+    schema = "k STRING, v DOUBLE"
+    left = spark.createDataFrame([("k", 1.0), ("k", 2.0), ("k", 3.0)], schema)
+    assert verify.diff_count(left, spark.createDataFrame([("k", 1.0), ("k", 2.5), ("k", 3.0)], schema), 1e-9).first()[0] == 2
+    assert verify.diff_count(left, spark.createDataFrame([("k", 2.0 + 1e-12), ("k", 3.0)], schema), 1e-9).first()[0] == 1
+    assert verify.diff_count(left, spark.createDataFrame([("k", x * (1 + 1e-12)) for x in (3.0, 1.0, 2.0)], schema), 1e-9).first()[0] == 0
+
+
+def test_tolerance_pairs_values_of_one_row(spark):
+    schema = "x DOUBLE, y FLOAT, k INT"
+    left = spark.createDataFrame([(1.0, 5.0, 1), (2.0, 6.0, 1), (None, 6.0, 1)], schema)
+    right = spark.createDataFrame([(1.0 + 1e-12, 6.0, 1), (2.0, 5.0, 1), (None, 6.0, 1)], schema)
+    assert verify.diff_count(left, right, 1e-9).first()[0] == 4
+    assert verify.diff_count(left.drop("k"), left.drop("k").repartition(3), 1e-9).first()[0] == 0
+
+
 def test_except_all_equals_the_builtin(sides, rows):
     left, right = sides
     assert rows(verify.except_all(left, right)) == rows(left.exceptAll(right))

@@ -46,8 +46,8 @@ REACH = 2
 HIDDEN = 32
 ROUNDS = 2
 MASK_EVERY = 8
-BATCH = 1024
-RATE = 0.15
+BATCH = 8192
+RATE = 0.3
 BUCKET_BYTES = 8 << 20
 _FLUSH = 1 << 20
 _PIECES = 16

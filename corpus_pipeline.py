@@ -41,18 +41,25 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by near-equal word sequences the one with the smallest id stays.
 
-    Rows without an id are in no group and stay. Rows that repeat an id are one
-    document to this stage: one of them stays, the one whose text sorts first.
+    Rows that repeat an id are documents of their own here: each is linked under a key
+    made of all its columns, and goes only if it is linked with one that stays. Of
+    rows that are equal in every column one stays; rows without an id are in no
+    group and all stay.
     """
     docs = _documents(docs)
-    groups = ngram_join.link_documents(docs, NEAR).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    gone = groups.filter("doc_id <> component_id").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
     several = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
-    single = kept.join(several, "doc_id", "left_anti")
-    row = F.struct("text", "lang", "source", "n_chars")
-    repeated = kept.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row"))
-    return single.select(*COLUMNS).unionByName(repeated.select("doc_id", "row.*"))
+    single = docs.join(several, "doc_id", "left_anti").withColumn("row_id", F.col("doc_id"))
+    # nulls are hashed as such: the hash passes over them
+    own = F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS])
+    repeated = docs.join(several, "doc_id", "left_semi").withColumn("row_id", own)
+    once = repeated.dropDuplicates(["row_id"])
+    rows = single.unionByName(once)
+    linked = ngram_join.link_documents(rows.select(F.col("row_id").alias("doc_id"), "text"), NEAR).filter("doc_id IS NOT NULL")
+    ids = linked.select(F.col("doc_id").alias("row_id"), "component_id").join(repeated.select("row_id", "doc_id").distinct(), "row_id", "left")
+    named = ids.select("row_id", "component_id", F.struct(F.coalesce("doc_id", "row_id").alias("doc_id"), "row_id").alias("place"))
+    first = named.groupBy("component_id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    gone = named.join(first, "component_id").filter("row_id <> first.row_id").select("row_id")
+    return rows.join(gone, "row_id", "left_anti").select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,7 +85,7 @@ def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, their number, and a check that they decode to the tokens of the text."""
+    """Token ids of every document, their number, and the text that these ids decode to."""
     docs = _documents(docs)
     encoded = bpe.encode_documents(docs, public_tokenizers.path(TOKENIZER), keys=("doc_id", "lang", "source", "n_chars"))
     return encoded.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")

@@ -5,10 +5,11 @@ for successive turn prefixes; where one output starts with the one before, the
 rest is the new turn's span, and where it does not, the template rewrites history
 and the conversation is marked so. Spans need no knowledge of the template.
 
-Long conversations are rendered in segments of ``SEGMENT_TURNS`` turns that begin
-with one turn of context, so that the work grows with the turns and not with
-their square. The pieces must join to the whole rendering and leave no rewritten
-history; otherwise every prefix of the conversation is rendered.
+Every prefix of a conversation is rendered, so the work grows with the square of its
+turns. A template may be declared ``turn_by_turn``: what it writes for a turn depends
+on this turn and the one before alone. Its long conversations are rendered in
+segments of ``SEGMENT_TURNS`` turns that begin with one turn of context; the pieces must
+join to the whole rendering, otherwise every prefix is rendered after all.
 
 Scale: one shuffle by conversation, sorted within partitions and read as a
 stream, so a task holds one conversation at a time. A conversation is rendered
@@ -55,6 +56,13 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape_text(role))
 
 
+def turn_by_turn(template: Template) -> Template:
+    """Declares that a turn's output depends on this turn and the one before alone."""
+    template.turn_by_turn = True
+    return template
+
+
+@turn_by_turn
 def marked_turns(messages: list[Message]) -> str:
     """The template of this library: marked turns with escaped texts."""
     return "".join(f"{START}{escape_role(role)}\n{escape_text(text)}{END}\n" for role, text in messages)
@@ -82,7 +90,7 @@ def _prefix_spans(template: Template, messages: list[Message], known: int = 0) -
 def render(template: Template, messages: list[Message], segment: int = SEGMENT_TURNS) -> Rendered:
     whole = template(messages)
     sizes = None
-    if len(messages) > segment:
+    if len(messages) > segment and getattr(template, "turn_by_turn", False):
         sizes, place = [], 0
         for low in range(0, len(messages), segment):
             context = min(low, 1)

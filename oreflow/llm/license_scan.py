@@ -1,10 +1,12 @@
 """License scan: an exact set-similarity join of text blocks with license notices, in DataFrame functions only.
 
-A text's blocks are its lines; a line of more than ``BLOCK_WORDS`` words is cut
-into windows of that many words, each half a window after the last, so every run
-of half a window lies within one block. A block carries a notice when it contains
-at least ``THRESHOLD`` of the notice's different words. The join finds all such
-pairs:
+A text's blocks are windows over all its words, line breaks being gaps like any
+other: each twice as long as ``BLOCK_WORDS`` or the longest notice, and half a window
+after the last, so every run of half a window lies within one block. A block
+carries a notice when it contains at least ``THRESHOLD`` of the notice's different
+words, the telling ones among them. Notices of one family share most of their
+words (versions and variants of one license); of these, a block carries those
+that it contains best, by share and then by words. The join finds all such pairs:
 
 - Tokens (the words of the notices) are put in order of their frequency in the
   blocks of all texts, rarest first.
@@ -15,11 +17,9 @@ pairs:
   tokens must be left on both sides.
 - What passes is counted exactly.
 
-With ``across_lines`` the blocks are windows over the words of the whole text, line
-breaks being gaps like any other: each at least twice as long as the longest notice
-and as a block of a line, the next half a window on, so notices wrapped over lines
-and every block of a line lie within one. The default, which the SQL form states,
-stays within lines and misses wrapped notices of which no line holds enough.
+With ``across_lines=False`` the blocks are the lines of a text, long ones cut into
+windows of ``BLOCK_WORDS``: a notice wrapped over lines is then found only if one line
+holds enough of it.
 
 Besides, the base phrases are found wherever their words stand one after another
 in the whole text, across lines.
@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 import re
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,20 +53,74 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
+
+
+class Notice(NamedTuple):
+    label: str
+    text: str
+    telling: str = ""  # words without which it is another notice
+    family: str = ""  # of notices that differ in some words; the label stands for itself
+
+
 # Wordings of public license notices and their labels.
 NOTICES = [
-    ("mit", "Released under the MIT License."),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0."),
-    ("apache-2", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("all-rights-reserved", "All rights reserved."),
+    Notice("mit", "Released under the MIT License.", "mit"),
+    Notice("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "granted free charge"),
+    Notice(
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+        "files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software", "granted sublicense",
+    ),
+    Notice("apache-2", "Licensed under the Apache License, Version 2.0.", "apache 2"),
+    Notice("apache-2", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "apache 2"),
+    Notice(
+        "apache-2",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. "
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "apache 2",
+    ),
+    Notice("cc-by", "Licensed under CC BY 4.0.", "cc by", "cc"),
+    Notice("cc-by-sa", "Licensed under CC BY-SA 4.0.", "cc by sa", "cc"),
+    Notice("cc-by-nc", "Licensed under CC BY-NC 4.0.", "cc by nc", "cc"),
+    Notice("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "commons attribution", "cc"),
+    Notice(
+        "cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "commons attribution sharealike", "cc",
+    ),
+    Notice(
+        "cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "commons attribution noncommercial", "cc",
+    ),
+    Notice("gpl-2", "This work is licensed under the GNU General Public License, version 2.", "gnu 2", "gpl"),
+    Notice("gpl-3", "This work is licensed under the GNU General Public License, version 3.", "gnu 3", "gpl"),
+    Notice(
+        "gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "gnu general public", "gpl",
+    ),
+    Notice(
+        "gpl-2",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+        "gnu general public 2", "gpl",
+    ),
+    Notice(
+        "gpl-3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+        "gnu general public 3", "gpl",
+    ),
+    Notice("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted", "redistribution binary"),
+    Notice(
+        "bsd",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met", "redistribution binary conditions",
+    ),
+    Notice("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mozilla 2"),
+    Notice(
+        "isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "permission fee granted",
+    ),
+    Notice("all-rights-reserved", "Copyright. All rights reserved.", "copyright all rights reserved"),
 ]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -131,23 +186,27 @@ def _base(prepared: DataFrame, phrases: dict[str, str]) -> DataFrame:
 
 
 def text_blocks(prepared: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, text_key and ``words`` of every block with a word."""
-    lines = prepared.select("doc_id", "text_key", F.explode(F.split("lined", "\n")).alias("line"))
-    lines = lines.select("doc_id", "text_key", F.trim("line").alias("line")).filter("line <> ''")
-    lines = lines.select("doc_id", "text_key", F.split("line", " ").alias("line_words"))
+    """doc_id, text_key, line, start and ``words`` of every block of a line with a word."""
+    lines = prepared.select("doc_id", "text_key", F.posexplode(F.split("lined", "\n")).alias("line", "text"))
+    lines = lines.select("doc_id", "text_key", "line", F.trim("text").alias("text")).filter("text <> ''")
+    lines = lines.select("doc_id", "text_key", "line", F.split("text", " ").alias("line_words"))
     half = block_words // 2
     starts = F.when(F.size("line_words") <= block_words, F.array(F.lit(1))).otherwise(
         F.sequence(F.lit(1), F.size("line_words") - half, F.lit(half))
     )
-    return lines.select("doc_id", "text_key", "line_words", F.explode(starts).alias("start")).select(
-        "doc_id", "text_key", F.slice("line_words", F.col("start"), block_words).alias("words")
+    return lines.select("doc_id", "text_key", "line", "line_words", F.explode(starts).alias("start")).select(
+        "doc_id", "text_key", "line", "start", F.slice("line_words", F.col("start"), block_words).alias("words")
     )
 
 
-def text_windows(prepared: DataFrame, notices: list[tuple[str, str]] = NOTICES, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, text_key and ``words`` of every window over the whole text, across lines."""
-    half = max([block_words] + [len(_words_of(text)) for _, text in notices])
-    return text_blocks(prepared.withColumn("lined", F.regexp_replace("lined", r"[ \n]+", " ")), 2 * half)
+def window_words(notices: list[Notice] = NOTICES, block_words: int = BLOCK_WORDS) -> int:
+    return 2 * max([block_words] + [len(_words_of(notice[1])) for notice in notices])
+
+
+def text_windows(prepared: DataFrame, notices: list[Notice] = NOTICES, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, text_key, line (0), start and ``words`` of every window over the whole text."""
+    whole = prepared.withColumn("lined", F.regexp_replace("lined", r"[ \n]+", " "))
+    return text_blocks(whole, window_words(notices, block_words))
 
 
 def _token_order(blocks: DataFrame, tokens: list[str]) -> list[str]:
@@ -157,37 +216,56 @@ def _token_order(blocks: DataFrame, tokens: list[str]) -> list[str]:
     return sorted(tokens, key=lambda t: (counts.get(t, 0), t))
 
 
-def _postings(documents: DataFrame, notices: list[tuple[str, set[str], int]], rank: dict[str, int]) -> DataFrame:
+class _Known(NamedTuple):
+    label: str
+    family: str
+    tokens: set[str]
+    telling: list[str]
+    need: int
+
+
+def _known(notices: list[Notice], threshold: float) -> list[_Known]:
+    out = []
+    for label, text, telling, family in (Notice(*notice) for notice in notices):
+        tokens = set(notice_tokens(text))
+        if set(_words_of(telling)) - tokens:
+            raise ValueError(f"the telling words {telling!r} are not all in the notice of {label}")
+        if tokens:
+            out.append(_Known(label, family or label, tokens, notice_tokens(telling), max(1, math.ceil(threshold * len(tokens) - 1e-9))))
+    return out
+
+
+def _postings(documents: DataFrame, notices: list[_Known], rank: dict[str, int]) -> DataFrame:
     rows = []
-    for number, (label, tokens, need) in enumerate(notices):
-        ordered = sorted(tokens, key=rank.__getitem__)
-        for place, token in enumerate(ordered[: len(ordered) - need + 1]):
+    for number, notice in enumerate(notices):
+        ordered = sorted(notice.tokens, key=rank.__getitem__)
+        for place, token in enumerate(ordered[: len(ordered) - notice.need + 1]):
             rows.append(F.struct(
-                F.lit(token).alias("token"), F.lit(number).alias("notice"), F.lit(label).alias("label"),
-                F.lit(place).alias("notice_place"), F.lit(need).alias("need"), _array(ordered).alias("notice_tokens"),
+                F.lit(token).alias("token"), F.lit(number).alias("notice"), F.lit(notice.label).alias("label"),
+                F.lit(notice.family).alias("family"), F.lit(place).alias("notice_place"), F.lit(notice.need).alias("need"),
+                _array(ordered).alias("notice_tokens"), _array(notice.telling).alias("telling"),
             ))
     return documents.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def notice_matches(
-    blocks: DataFrame, notices: list[tuple[str, str]] = NOTICES, threshold: float = THRESHOLD
+    blocks: DataFrame, notices: list[Notice] = NOTICES, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """doc_id, text_key, notice, label, containment: every pair of a block and a notice that it contains."""
-    known = []
-    for label, text in notices:
-        tokens = set(notice_tokens(text))
-        if tokens:
-            known.append((label, tokens, max(1, math.ceil(threshold * len(tokens) - 1e-9))))
-    universe = sorted(set().union(*[tokens for _, tokens, _ in known])) if known else []
+    """doc_id, text_key, notice, label, containment: every pair of a block and a notice that it carries."""
+    known = _known(notices, threshold)
+    universe = sorted(set().union(*[notice.tokens for notice in known])) if known else []
     if not known or len(universe) > MAX_TOKENS:
         raise ValueError(f"notices must have words, and at most {MAX_TOKENS} different ones")
     order = _token_order(blocks, universe)
     rank = {token: i for i, token in enumerate(order)}
-    prefixes = sorted({t for _, tokens, need in known for t in sorted(tokens, key=rank.__getitem__)[: len(tokens) - need + 1]}, key=rank.__getitem__)
+    prefixes = sorted(
+        {t for notice in known for t in sorted(notice.tokens, key=rank.__getitem__)[: len(notice.tokens) - notice.need + 1]}, key=rank.__getitem__
+    )
 
+    block = ["doc_id", "text_key", "line", "start"]
     probes = blocks.select(
-        "doc_id", "text_key", F.explode(F.array_intersect(_array(prefixes), F.col("words"))).alias("token"), "words"
-    ).select("doc_id", "text_key", "token", F.array_intersect(_array(order), F.col("words")).alias("tokens"))
+        *block, F.explode(F.array_intersect(_array(prefixes), F.col("words"))).alias("token"), "words"
+    ).select(*block, "token", F.array_intersect(_array(order), F.col("words")).alias("tokens"))
     joined = probes.join(F.broadcast(_postings(blocks, known, rank)), "token")
     size, wanted = F.size("tokens"), F.size("notice_tokens")
     place = F.array_position("tokens", F.col("token")).cast("int") - 1
@@ -196,14 +274,19 @@ def notice_matches(
         & (1 + F.least(wanted - F.col("notice_place") - 1, size - place - 1) >= F.col("need"))
     )
     common = F.size(F.array_intersect("notice_tokens", "tokens"))
-    return passed.select("doc_id", "text_key", "notice", "label", "need", common.alias("common"), (common / wanted).alias("containment")).filter(
-        "common >= need"
-    ).drop("need", "common")
+    told = F.size(F.array_intersect("telling", "tokens")) == F.size("telling")
+    found = passed.filter((common >= F.col("need")) & told).select(
+        *block, "family", F.struct((common / wanted).alias("containment"), common.alias("common")).alias("fit"), "notice", "label"
+    )
+    # at most one match per notice in a block
+    best = found.groupBy(*block, "family").agg(F.collect_set(F.struct("fit", "notice", "label")).alias("matches"), F.max("fit").alias("best"))
+    kept = F.filter("matches", lambda match: match["fit"] == F.col("best"))
+    return best.select("doc_id", "text_key", F.inline(kept)).select("doc_id", "text_key", "notice", "label", F.col("fit.containment").alias("containment"))
 
 
 def scan_licenses(
-    documents: DataFrame, notices: list[tuple[str, str]] = NOTICES, phrases: dict[str, str] = BASE_PHRASES,
-    threshold: float = THRESHOLD, across_lines: bool = False,
+    documents: DataFrame, notices: list[Notice] = NOTICES, phrases: dict[str, str] = BASE_PHRASES,
+    threshold: float = THRESHOLD, across_lines: bool = True,
 ) -> DataFrame:
     """Per document: words, base places, ``base`` labels, all ``labels`` (both sorted arrays) and the best score."""
     prepared = _prepared(documents)
@@ -230,20 +313,24 @@ def scan_sql() -> str:
     """The same scan for DuckDB, without any filter: every block against every notice."""
     words = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     lower = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+    def listed(words: list[str]) -> str:
+        return f"CAST([{', '.join(_quoted(w) for w in words)}] AS VARCHAR[])"
+
     notices = ", ".join(
-        f"({_quoted(label)}, [{', '.join(_quoted(t) for t in notice_tokens(text))}])" for label, text in NOTICES
+        f"({_quoted(n.label)}, {_quoted(n.family)}, {listed(sorted(n.tokens))}, {listed(n.telling)}, {n.need})" for n in _known(NOTICES, THRESHOLD)
     )
     phrases = ", ".join(
         f"({_quoted(label)}, [{', '.join(_quoted(w) for w in phrase.split(' '))}])" for phrase, label in BASE_PHRASES.items()
     )
-    half = BLOCK_WORDS // 2
+    size = window_words()
+    half = size // 2
     return f"""
 WITH docs AS (
     SELECT row_number() OVER () AS row_id, doc_id, {lower} AS txt FROM documents
 ), worded AS (
     SELECT row_id, doc_id, txt, regexp_extract_all(txt, {words}) AS words FROM docs
 ), phrases(label, parts) AS (VALUES {phrases}),
-notices(label, tokens) AS (VALUES {notices}),
+notices(label, family, tokens, telling, need) AS (VALUES {notices}),
 places AS (
     SELECT row_id, label, i - 1 AS place
     FROM (SELECT row_id, words, label, parts, unnest(generate_series(1, len(words) - len(parts) + 1)) AS i
@@ -252,17 +339,18 @@ places AS (
 ), base AS (
     SELECT row_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
            list(DISTINCT label) AS base FROM places GROUP BY 1
-), lines AS (
-    SELECT row_id, regexp_extract_all(unnest(string_split(txt, chr(10))), {words}) AS words FROM docs
 ), blocks AS (
-    SELECT row_id, words[start : start + {BLOCK_WORDS - 1}] AS words
-    FROM (SELECT row_id, words, unnest(CASE WHEN len(words) <= {BLOCK_WORDS} THEN [1]
+    SELECT row_id, start, words[start : start + {size - 1}] AS words
+    FROM (SELECT row_id, words, unnest(CASE WHEN len(words) <= {size} THEN [1]
                                        ELSE generate_series(1, len(words) - {half}, {half}) END) AS start
-          FROM lines WHERE len(words) > 0)
+          FROM worded WHERE len(words) > 0)
+), carried AS (
+    SELECT row_id, start, label, family, len(list_intersect(tokens, words)) AS common,
+           len(list_intersect(tokens, words)) / len(tokens) AS containment
+    FROM blocks, notices WHERE len(list_intersect(tokens, words)) >= need AND len(list_intersect(telling, words)) = len(telling)
 ), matched AS (
-    SELECT row_id, label, len(list_intersect(tokens, words)) / len(tokens) AS containment
-    FROM blocks, notices
-    WHERE len(list_intersect(tokens, words)) >= ceil({THRESHOLD} * len(tokens) - 1e-9)
+    SELECT row_id, label, containment FROM carried
+    QUALIFY rank() OVER (PARTITION BY row_id, start, family ORDER BY containment DESC, common DESC) = 1
 ), more AS (
     SELECT row_id, list(DISTINCT label) AS more, max(containment) AS best FROM matched GROUP BY 1
 )

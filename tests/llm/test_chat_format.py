@@ -3,7 +3,7 @@ import hashlib
 import pytest
 
 from oreflow.llm.chat_format import (
-    escape_role, escape_text, format_conversations, marked_turns, read_back, render, unescape_role, unescape_text,
+    escape_role, escape_text, format_conversations, marked_turns, read_back, render, turn_by_turn, unescape_role, unescape_text,
 )
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -60,6 +60,22 @@ def test_rewritten_history_is_found(n):
     assert render(last_only, turns).rewrites and render(total_first, turns).rewrites
 
 
+def test_rewriting_inside_a_long_conversation_is_found():
+    def summed_up(turns):
+        """Plain, but for one prefix that it sums up."""
+        return "summary" if len(turns) == 100 else "".join(f"{r}:{t}\n" for r, t in turns)
+
+    turns = [("user", f"text {i}") for i in range(150)]
+    assert render(summed_up, turns).rewrites and not render(summed_up, turns[:99]).rewrites
+
+
+def test_a_wrong_declaration_is_noticed():
+    counted = turn_by_turn(lambda turns: "".join(f"{i}:{t}\n" for i, (_, t) in enumerate(turns)))
+    turns = [("user", f"t{i}") for i in range(200)]
+    done = render(counted, turns)
+    assert not done.rewrites and [done.text[a:b] for a, b in done.spans] == [f"{i}:t{i}\n" for i in range(200)]
+
+
 def test_empty_table_and_other_columns(spark):
     assert read_back(format_conversations(spark.createDataFrame([], SCHEMA))).count() == 0
     odd = spark.createDataFrame([(1, 0, "user", "a", 9, "z")], SCHEMA + ", formatted int, n_turns string")

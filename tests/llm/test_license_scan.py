@@ -12,20 +12,22 @@ def low(text):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
 
 
-def brute(text, notices, threshold, size=64):
+def brute(text, notices, threshold, size=128):
     words = WORD.findall(low(text))
     places = [(label, i) for phrase, label in BASE_PHRASES.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
     labels, best = set(), 0.0
-    for line in low(text).split("\n"):
-        found = WORD.findall(line)
-        blocks = [found] if len(found) <= size else [found[i : i + size] for i in range(0, len(found) - size // 2, size // 2)]
-        for block in blocks:
-            for label, notice in notices:
-                tokens = set(notice_tokens(notice))
-                common = len(tokens & set(block))
-                if tokens and common >= math.ceil(threshold * len(tokens) - 1e-9):
-                    labels.add(label)
-                    best = max(best, common / len(tokens))
+    blocks = [words] if len(words) <= size else [words[i : i + size] for i in range(0, len(words) - size // 2, size // 2)]
+    for block in blocks:
+        carried = {}
+        for label, notice, *more in notices:
+            tokens, telling, family = set(notice_tokens(notice)), set(low("".join(more[:1])).split()), "".join(more[1:]) or label
+            common = len(tokens & set(block))
+            if tokens and common >= math.ceil(threshold * len(tokens) - 1e-9) and telling <= set(block):
+                carried.setdefault(family, []).append((common / len(tokens), common, label))
+        for found in carried.values():
+            most = max(found)[:2]
+            labels |= {label for *fit, label in found if tuple(fit) == most}
+            best = max(best, most[0])
     starts = [i for _, i in places]
     base = sorted({x for x, _ in places})
     return len(words), len(places), min(starts, default=None), max(starts, default=None), base, sorted(labels | set(base)), max(best, 1.0 if places else 0.0)
@@ -34,7 +36,7 @@ def brute(text, notices, threshold, size=64):
 def texts():
     plain = "the of and a to in it is this " * 3
     out = [None, "", "   ", "...", plain, "Released UNDER the\nMIT license! under the mit license", "cc by nc cc by nc", "CC-BY-NC", "cc by\nnc"]
-    for _, notice in NOTICES:
+    for _, notice, *_ in NOTICES:
         words = notice.split()
         out += [notice, notice.upper(), " ".join(words[:-1]), " ".join(words[: len(words) // 2]), plain + notice + " " + plain, " ".join(words[::-1])]
         out += [plain * 5 + notice + " " + plain * 9, "\n".join(words), f"x\n{' , '.join(words)}\n\ny", " ".join(words[1:] + ["other"] * 40 + words[:1])]
@@ -43,7 +45,7 @@ def texts():
 
 @pytest.mark.parametrize("threshold", [0.8, 0.5, 1.0])
 def test_matches_brute_force(spark, threshold):
-    rows = [(i, t) for i, t in enumerate(texts())] + [(None, NOTICES[0][1]), (3, NOTICES[1][1]), (3, "cc by nc"), (3, "cc by nc")]
+    rows = [(i, t) for i, t in enumerate(texts())] + [(None, NOTICES[0].text), (3, NOTICES[1].text), (3, "cc by nc"), (3, "cc by nc")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = scan_licenses(docs, threshold=threshold).collect()
     got = sorted(((r["doc_id"], (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base"], r["labels"], round(r["score"], 9))) for r in found), key=str)
@@ -82,12 +84,35 @@ def test_notices_wrapped_over_lines(spark):
         rows += [(label, wrapped), (label, f"{plain}\n{wrapped}\n{plain}")]
     docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
     notices = [*NOTICES, long]
-    found = {r["doc_id"]: r for r in scan_licenses(docs, notices, across_lines=True).collect()}
+    found = {r["doc_id"]: r for r in scan_licenses(docs, notices).collect()}
     assert [(found[i]["labels"], found[i]["score"]) for i in range(len(rows))] == [([label], 1.0) for label, _ in rows]
 
 
-def test_windows_hold_every_block_of_a_line(spark):
-    docs = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
-    lines = {r["doc_id"]: set(r["labels"]) for r in scan_licenses(docs).collect()}
-    whole = {r["doc_id"]: set(r["labels"]) for r in scan_licenses(docs, across_lines=True).collect()}
-    assert all(lines[i] <= whole[i] for i in lines)
+def test_lines_alone_on_request(spark):
+    docs = spark.createDataFrame([(1, "Permission is hereby granted, free of\ncharge, to any person obtaining a copy of this software"), (2, f"x\n{NOTICES[1].text}\ny")],
+                                 "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in scan_licenses(docs, across_lines=False).collect()} == {1: [], 2: ["mit"]}
+    assert {r["doc_id"]: r["labels"] for r in scan_licenses(docs).collect()} == {1: ["mit"], 2: ["mit"]}
+
+
+def test_variants_of_a_license_are_told_apart(spark):
+    plain = "some words of a text that stand around it " * 4
+    rows = {
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": ["cc-by"],
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": ["cc-by-sa"],
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": ["cc-by-nc"],
+        "This work is licensed under the GNU General Public License, version 2.": ["gpl-2"],
+        "This work is licensed under the GNU General Public License, version 3.": ["gpl-3"],
+        "All of the documents reserved by the committee stay so, whatever the rights of access": [],
+        "Copyright 2020 the authors. All rights reserved.": ["all-rights-reserved"],
+        "Released under the MIT License. Licensed under the Apache License, Version 2.0.": ["apache-2", "mit"],
+    }
+    docs = spark.createDataFrame([(i, f"{plain}\n{text}\n{plain}") for i, text in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r["labels"] for r in scan_licenses(docs).collect()}
+    assert [found[i] for i in range(len(rows))] == list(rows.values())
+
+
+def test_telling_words_are_words_of_the_notice(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="telling"):
+        scan_licenses(docs, [("none", "some text", "other")])

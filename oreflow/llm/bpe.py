@@ -34,6 +34,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -45,10 +46,11 @@ from oreflow.llm.textbytes import NONSPACE, prefix_hash, ranges, slices, span_ha
 MAX_FILE_BYTES = 64 << 20
 CACHED_CHUNKS = 400_000
 CACHED_BYTES = 96 << 20
-MAX_PAIRS = 100_000
+MAX_PAIRS = 300_000
 #: What the files' patterns mean by white space (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _BASE = (-1, "", "")
+_END = "\ue000"  # no byte symbol
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(f"[{SPACE}]+")
 
@@ -87,10 +89,12 @@ class TrieEncoder:
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.splitter = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.added, key=len, reverse=True)) + ")")
         self.bytes = byte_symbols()
-        #: every end of a token: a string that is none ends no longer token
-        self.tails = {token[i:] for token in self.vocab for i in range(1, len(token))}
+        #: finds the tokens in a word by where they end, but those that merges never leave; a word's end is one symbol here
+        self.ends = ahocorasick.Automaton()
+        for token in filter(self._may_stand, self.vocab.keys() - {self.suffix}):
+            self.ends.add_word(token.removesuffix(self.suffix) + _END if token.endswith(self.suffix) else token, token)
+        self.ends.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.alone: dict[str, bool] = {}
         self.known_words: dict[str, bytes] = {}
         self.store = ChunkStore()
         if any(x.isspace() or len(x.split()) != 1 for x in self.added):
@@ -123,10 +127,7 @@ class TrieEncoder:
         return symbols
 
     def _may_stand(self, token: str) -> bool:
-        found = self.alone.get(token)
-        if found is None:
-            found = self.alone[token] = self._merged(self._symbols(token)) == [token]
-        return found
+        return self._merged(self._symbols(token)) == [token]
 
     def _may_follow(self, left: str, right: str) -> bool:
         found = self.pairs.get((left, right))
@@ -156,35 +157,35 @@ class TrieEncoder:
             else:
                 return True
 
-    def _last_token(self, path: str, size: int, lasts: list[str], end: str) -> str:
-        """The last token of the encoding of the path's first ``size`` symbols, given those of its shorter prefixes."""
-        vocab, tails, found = self.vocab, self.tails, []
-        for start in range(size - 1, -1, -1):
-            tail = path[start:size] + end
-            if tail in vocab:
-                found.append((start, tail))
-            if tail not in tails:
-                break
-        for start, token in reversed(found):
-            if self._may_stand(token) and (not start or self._may_follow(lasts[start], token)):
-                return token
-        raise ValueError(f"no token ends {path[:size]!r}")
-
     def encode_words(self, words: Iterable[str]) -> dict[str, list[str]]:
         """Tokens of different words, each a string of byte symbols."""
         out: dict[str, list[str]] = {}
         lasts = [""]  # the last token of the path's prefix of each length
         before = ""
+        ends, pairs, suffix = self.ends.iter, self.pairs, len(self.suffix)
         for word in sorted(words):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
             del lasts[shared + 1 :]
-            size = len(word)
-            for k in range(len(lasts), size):
-                lasts.append(self._last_token(word, k, lasts, ""))
-            token = self._last_token(word, size, lasts, self.suffix)
-            tokens, place = [token], size - (len(token) - len(self.suffix))
+            known, size = len(lasts), len(word)
+            # all tokens by where they end, of equal ends the longest first: the first that may stand there is the last token
+            for at, token in ends(word + _END):
+                if at + 1 < known:
+                    continue
+                start = at + 1 - len(token) if at < size else size + suffix - len(token)
+                if start:
+                    follows = pairs.get((lasts[start], token))
+                    if not (follows if follows is not None else self._may_follow(lasts[start], token)):
+                        continue
+                lasts.append(token)
+                known += 1
+            if len(lasts) != size + 2:
+                raise ValueError(f"no token ends in {word!r}")
+            token = lasts[size + 1]
+            # the prefix that is the whole word counts for longer words only
+            tokens, place = [token], size + suffix - len(token)
+            del lasts[size + 1 :]
             while place:
                 token = lasts[place]
                 tokens.append(token)

@@ -48,14 +48,23 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     docs = _documents(docs)
     several = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
-    single = docs.join(several, "doc_id", "left_anti").withColumn("row_id", F.col("doc_id"))
-    # nulls are hashed as such: the hash passes over them
-    own = F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS])
-    repeated = docs.join(several, "doc_id", "left_semi").withColumn("row_id", own)
-    once = repeated.dropDuplicates(["row_id"])
-    rows = single.unionByName(once)
+    path = work_dir(spark, "repeated-ids")
+    several.write.parquet(path)
+    several = spark.read.schema("doc_id bigint").parquet(path)
+    if several.isEmpty():  # then ids are keys already
+        rows, repeated = docs.withColumn("row_id", F.col("doc_id")), None
+    else:
+        single = docs.join(several, "doc_id", "left_anti").withColumn("row_id", F.col("doc_id"))
+        # nulls are hashed as such: the hash passes over them
+        own = F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS])
+        once = docs.join(several, "doc_id", "left_semi").withColumn("row_id", own).dropDuplicates(["row_id"])
+        path = work_dir(spark, "rows-with-keys")  # the join below reads the texts several times
+        single.unionByName(once).write.parquet(path)
+        rows = spark.read.schema(single.schema).parquet(path)
+        repeated = rows.filter("row_id <> doc_id").select("row_id", "doc_id")
     linked = ngram_join.link_documents(rows.select(F.col("row_id").alias("doc_id"), "text"), NEAR).filter("doc_id IS NOT NULL")
-    ids = linked.select(F.col("doc_id").alias("row_id"), "component_id").join(repeated.select("row_id", "doc_id").distinct(), "row_id", "left")
+    ids = linked.select(F.col("doc_id").alias("row_id"), "component_id")
+    ids = ids.withColumn("doc_id", F.col("row_id")) if repeated is None else ids.join(repeated, "row_id", "left")
     named = ids.select("row_id", "component_id", F.struct(F.coalesce("doc_id", "row_id").alias("doc_id"), "row_id").alias("place"))
     first = named.groupBy("component_id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     gone = named.join(first, "component_id").filter("row_id <> first.row_id").select("row_id")

@@ -5,13 +5,21 @@ Layout below a table's root::
     data/version=N        the rows
     metrics/version=N     what the rules found in them, and the rows that drop rules took out
     published/version=N   a marker, written only once version N has passed
+    claims/version=N      the writer that works on version N
 
 A reader takes the newest marked version, so it never sees a version that is
 being written or that failed, and a table can be rebuilt from itself.
+
+Of two writers at the same time one is refused: a writer claims its version by a
+file that only one of them can create, and gives it back when it fails. A writer
+that dies keeps its claim; it can be taken over once it is ``CLAIM_HOURS`` old.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -22,6 +30,14 @@ from oreflow.operators.quality import Checked, apply_expectations, assertions, c
 from oreflow.session import only_absent
 
 
+#: A claim this old belongs to a writer that died.
+CLAIM_HOURS = 6.0
+
+
+class VersionClaimed(RuntimeError):
+    """Another writer works on this version."""
+
+
 class ExpectationFailed(RuntimeError):
     """Fail or table rules were violated; nothing was published."""
 
@@ -52,6 +68,25 @@ def mark_published(spark: SparkSession, root: str, version: int) -> None:
     )
 
 
+@contextmanager
+def claimed(spark: SparkSession, root: str, version: int, hours: float = CLAIM_HOURS) -> Iterator[None]:
+    """The version is this writer's alone for the length of the block."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/claims/version={version}")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.createNewFile(path):
+        age = time.time() * 1000 - files.getFileStatus(path).getModificationTime()
+        if age < hours * 3_600_000:
+            raise VersionClaimed(f"version {version} of {root} is being written since {age / 60_000:.0f} minutes")
+        files.delete(path, False)
+        if not files.createNewFile(path):
+            raise VersionClaimed(f"version {version} of {root} was taken over by another writer")
+    try:
+        yield
+    finally:  # once the version is marked, nobody asks for it again
+        files.delete(path, False)
+
+
 def publish(
     checked: Checked, root: str, cluster_by: tuple[str, ...] = (), table_rules: dict[str, str] | None = None
 ) -> int:
@@ -68,9 +103,20 @@ def publish(
     away. ``table_rules`` are aggregate predicates over the whole staged version,
     such as ``count(*) = 1``. Metrics are written before the marker, under the
     version's name, so a run that is repeated replaces them.
+
+    Another writer at work on the same version raises ``VersionClaimed``.
     """
     spark = checked.df.sparkSession
     version = (published_version(spark, root) or 0) + 1
+    with claimed(spark, root, version):
+        if (published_version(spark, root) or 0) >= version:
+            raise VersionClaimed(f"version {version} of {root} was published meanwhile")
+        _publish(checked, root, version, cluster_by, table_rules)
+    return version
+
+
+def _publish(checked: Checked, root: str, version: int, cluster_by: tuple[str, ...], table_rules: dict[str, str] | None) -> None:
+    spark = checked.df.sparkSession
     target = f"{root}/data/version={version}"
     drops = [rule for rule in checked.rules if rule.action == "drop"]
     rows = checked.df.repartitionByRange(*cluster_by) if cluster_by else checked.df
@@ -100,7 +146,6 @@ def publish(
             faults = ", ".join(f"{row['rule']}: {row['violations']} of {row['rows']} rows" for row in broken)
             raise ExpectationFailed(f"{root} not published ({faults})")
     mark_published(spark, root, version)
-    return version
 
 
 def rule_history(spark: SparkSession, root: str) -> DataFrame:

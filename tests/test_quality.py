@@ -1,8 +1,10 @@
+from threading import Thread
+
 import pytest
 from pyspark.sql import functions as F
 
 from oreflow.operators.quality import Expectation, apply_expectations, assertions, key_repeats, pass_rates
-from oreflow.sinks.publish import ExpectationFailed, publish, published_version, read_published, rule_history
+from oreflow.sinks.publish import ExpectationFailed, VersionClaimed, claimed, publish, published_version, read_published, rule_history
 
 RULES = [
     Expectation("has_key", "k IS NOT NULL AND k != ''", "drop"),
@@ -115,3 +117,35 @@ def test_a_broken_table_rule_publishes_nothing(spark, rows, tmp_path):
             publish(apply_expectations(spark.createDataFrame(data, "k INT"), []), root, table_rules=once)
     assert rows(read_published(spark, root)) == [(1,), (2,)]
     assert ("has_rows", "table", 1, 1) in rows(rule_history(spark, root), "rule", "action", "rows", "violations")
+
+
+def test_of_two_writers_one_is_refused(spark, rows, tmp_path):
+    root = str(tmp_path / "t")
+    one, two = (apply_expectations(spark.createDataFrame([(v,)], "v INT"), []) for v in (1, 2))
+    with claimed(spark, root, 1):
+        with pytest.raises(VersionClaimed, match="version 1"):
+            publish(two, root)
+        with claimed(spark, root, 1, hours=0):  # left by a writer that died
+            pass
+    assert published_version(spark, root) is None
+    assert publish(one, root) == 1 and publish(two, root) == 2 and rows(read_published(spark, root)) == [(2,)]
+
+
+def test_writers_at_the_same_time(spark, rows, tmp_path):
+    root = str(tmp_path / "t")
+    results = []
+
+    def write(value):
+        try:
+            results.append(("done", publish(apply_expectations(spark.createDataFrame([(value,)] * 50, "v INT"), []), root), value))
+        except VersionClaimed:
+            results.append(("refused", None, value))
+
+    writers = [Thread(target=write, args=(value,)) for value in range(4)]
+    for writer in writers:
+        writer.start()
+    for writer in writers:
+        writer.join()
+    done = sorted((version, value) for state, version, value in results if state == "done")
+    assert done and [version for version, _ in done] == list(range(1, len(done) + 1))
+    assert rows(read_published(spark, root)) == [(done[-1][1],)] * 50

@@ -3,7 +3,7 @@
 A file up to ``LARGE_BYTES`` is read whole and hashed. A larger one is hashed in
 parallel: its lines are numbered over all splits, every ``LINES_PER_BLOCK`` of them make
 a block, and the digest is that of its size and the block digests. It does not depend
-on how Spark splits the file.
+on how Spark splits the file. Files without a byte are not listed by the source.
 """
 
 from __future__ import annotations

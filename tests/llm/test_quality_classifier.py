@@ -1,9 +1,11 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from oreflow.llm.quality import features, score_quality, train, train_on
-from oreflow.llm.textbytes import slices
+from oreflow.llm.quality import Model, features, score_quality, train, train_on
+from oreflow.llm.textbytes import mix, prefix_hash, slices, span_hash
 
 
 def rows():
@@ -58,3 +60,44 @@ def test_features_stay_within_their_text(texts):
                 out[i] += index[edges[i] : edges[i + 1]].tolist()
         return [sorted(x) for x in out]
     assert of(texts) == [of([t])[0] for t in texts]
+
+
+def string_hash(data: bytes) -> np.uint64:
+    array = np.frombuffer(data, np.uint8)
+    return span_hash(prefix_hash(array), np.array([0]), np.array([len(data)]))[0]
+
+
+def plain_score(text, model):
+    """String by string: the mean of the weights of a text's words, pairs of words and byte strings."""
+    data, size = (text or "").encode(), np.uint64(len(model.weights))
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", data) if w]
+    hashes = [string_hash(w) for w in words]
+    found = [h ^ np.uint64(1) for h in hashes]
+    with np.errstate(over="ignore"):
+        for a, b in zip(hashes, hashes[1:]):
+            found.append(np.uint64(7) if a == b else mix(np.array([a * np.uint64(0x9E3779B97F4A7C15) + b]))[0])
+    found += [string_hash(data[i : i + n]) for n in (3, 4) for i in range(len(data) - n + 1)]
+    total = sum(float(model.weights[int(h % size)]) for h in found)
+    return 1 / (1 + np.exp(-(total / max(len(found), 1) + model.bias)))
+
+
+def test_scores_like_the_plain_version(spark):
+    model = Model(np.random.default_rng(4).standard_normal(1 << 12).astype(np.float32), -0.3)
+    texts = [None, "", " \n", "a", "ab", "abc", "a a a b", "the ouh\tñez  the the", "😀😀 x", "w" * 500, "the nd " * 200]
+    rows_ = list(enumerate(texts)) + [(3, "another text of id 3"), (3, "a"), (None, "nobody's")]
+    docs = spark.createDataFrame([(i, t, 0.5, True, "l") for i, t in rows_], DOCS + ", score double, held_out boolean, quality string").repartition(3)
+    found = score_quality(docs, model)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    got = sorted(((r["doc_id"], round(r["score"], 9)) for r in found.collect()), key=str)
+    assert got == sorted(((i, round(plain_score(t, model), 9)) for i, t in rows_), key=str)
+
+
+def test_other_columns_and_repeated_ids_in_training(spark):
+    docs, labels = rows()
+    plain = train_on(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    odd = spark.createDataFrame([(i, t, i, "x", 7) for i, t in docs], DOCS + ", place int, label string, bytes int")
+    marked = spark.createDataFrame([(*row, "text") for row in labels] + [(*labels[1], "twice")], LABELS + ", text string")
+    same = train_on(odd, marked)
+    assert np.array_equal(plain.weights, same.weights) and plain.bias == same.bias
+    twice = train_on(spark.createDataFrame(docs + [(1, "another text of a labelled id")], DOCS), spark.createDataFrame(labels, LABELS))
+    assert not np.array_equal(plain.weights, twice.weights)

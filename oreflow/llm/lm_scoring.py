@@ -5,7 +5,9 @@ own, all others share ``RARE`` hash classes. A network sees the ``REACH`` words
 either side of a masked place, each through a vector of its own for word and
 distance, adds them up, takes tanh and predicts the masked word in two softmax
 steps, group and word within the group. A document's score is the sum over all
-its words of the log-probability of the word given both sides.
+its words of the log-probability of the word given both sides: that of its class,
+and for a word of a hash class its share of the class, log of (count + 1) over (count
+of the class + its different words + 1). A word that was never counted has count 0.
 
 Training masks every word of all documents once: every ``MASK_EVERY``-th, then those
 next to them, until all were masked. It goes in ``ROUNDS`` rounds that each take
@@ -15,9 +17,13 @@ from the round's common weights; the tasks' weights are then averaged, weighted
 by what they have seen, and start the next round.
 
 Scale: words are counted over all texts in packed buckets by hash, and all texts
-are trained on, so both follow the input. Weights are averaged in two levels, so
-a task of the average holds the share of a limited number of tasks. The driver
-gets the frequent words and one set of weights, both of fixed size.
+are trained on, so both follow the input. The counts of all words stay in a table;
+scoring asks it slice by slice: a slice of texts sends its different rare words to
+their buckets, meets the answers in one group, and texts are not shuffled. Weights
+are averaged in two levels, so a task of the average holds the share of a limited
+number of tasks. The driver gets the frequent words, the classes' counts and one set
+of weights, all of fixed size. Steps grow from ``FIRST_BATCH`` words to ``BATCH`` with what
+a task has seen.
 
 Defined results: words are runs of letters, digits and characters beyond ASCII,
 A-Z lower-cased; a null or empty text has no words, sum 0 and a null mean; rows
@@ -26,6 +32,7 @@ that repeat a doc_id are scored each by its own text; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -38,6 +45,7 @@ from pyspark.sql import functions as F
 from oreflow.llm.buckets import bucket_count, packed, unpacked
 from oreflow.llm.shared import typed
 from oreflow.llm.textbytes import LOWER, WORD, Slice, prefix_hash, ranges, slices, span_hash, word_spans
+from oreflow.session import work_dir
 
 FREQUENT = 1792
 RARE = 512
@@ -46,7 +54,7 @@ REACH = 2
 HIDDEN = 32
 ROUNDS = 2
 MASK_EVERY = 8
-BATCH = 8192
+FIRST_BATCH, BATCH = 512, 16384
 RATE = 0.3
 BUCKET_BYTES = 8 << 20
 _FLUSH = 1 << 20
@@ -58,14 +66,15 @@ _SPREAD = 64
 class Vocabulary:
     hashes: np.ndarray  # of the frequent words, sorted
     ids: np.ndarray  # their ids, by frequency
-    rare: int
+    rare: int = RARE
+    frequent: int = FREQUENT
 
     @property
     def size(self) -> int:
-        return -(-(FREQUENT + self.rare) // GROUP) * GROUP
+        return -(-(self.frequent + self.rare) // GROUP) * GROUP
 
     def of(self, words: np.ndarray) -> np.ndarray:
-        out = FREQUENT + (words % np.uint64(self.rare)).astype(np.int64)
+        out = self.frequent + (words % np.uint64(self.rare)).astype(np.int64)
         if len(self.hashes):
             place = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
             known = self.hashes[place] == words
@@ -96,23 +105,74 @@ def _counts(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
         yield from flush()
 
 
-def _most_frequent(group: pa.Table) -> pa.Table:
+COUNTS_SCHEMA = "bucket int, word binary, count binary"
+
+
+def _added_counts(group: pa.Table) -> pa.Table:
+    """The different words of a bucket, sorted, with their counts."""
     words, place = np.unique(unpacked(group, "word", np.uint64), return_inverse=True)
     counts = np.zeros(len(words), np.int64)
     np.add.at(counts, place, unpacked(group, "count", np.uint32).astype(np.int64))
-    top = np.lexsort((words.view(np.int64), -counts))[:FREQUENT]
-    return pa.table({"word": words[top].view(np.int64), "count": counts[top]})
+    return pa.table({
+        "bucket": group.column("bucket")[:1], "word": pa.array([words.tobytes()], pa.binary()), "count": pa.array([counts.tobytes()], pa.binary()),
+    })
+
+
+def _buckets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for word, count in zip(batch.column("word"), batch.column("count")):
+            yield np.frombuffer(word.as_buffer(), np.uint64), np.frombuffer(count.as_buffer(), np.int64)
+
 
+def _most_frequent(batches: Iterable[pa.RecordBatch], number: int) -> Iterator[pa.RecordBatch]:
+    for words, counts in _buckets_of(batches):
+        top = np.lexsort((words.view(np.int64), -counts))[:number]
+        yield pa.RecordBatch.from_arrays([pa.array(words[top].view(np.int64)), pa.array(counts[top])], ["word", "count"])
 
-def count_vocabulary(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Vocabulary:
-    """The most frequent words of all texts, ties by hash."""
+
+def _class_counts(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
+    """Occurrences and different words of every hash class in this task's buckets."""
+    total, different = np.zeros(vocabulary.rare, np.int64), np.zeros(vocabulary.rare, np.int64)
+    for words, counts in _buckets_of(batches):
+        own = vocabulary.of(words) - vocabulary.frequent
+        np.add.at(total, own[own >= 0], counts[own >= 0])
+        different += np.bincount(own[own >= 0], minlength=vocabulary.rare)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(vocabulary.rare, dtype=np.int32)), pa.array(total), pa.array(different)], ["class", "total", "different"]
+    )
+
+
+def count_words(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
+    """The counts of all words, stored in the shared folder by bucket, and the number of buckets."""
     buckets = bucket_count(texts, bucket_bytes)
-    counted = texts.select("text").mapInArrow(lambda b: _counts(b, buckets), "bucket int, word binary, count binary")
-    best = counted.groupBy("bucket").applyInArrow(_most_frequent, "word long, count long")
-    top = best.orderBy(F.desc("count"), "word").limit(FREQUENT).collect()
+    counted = texts.select("text").mapInArrow(lambda b: _counts(b, buckets), COUNTS_SCHEMA)
+    path = work_dir(texts.sparkSession, "word-counts")
+    counted.groupBy("bucket").applyInArrow(_added_counts, COUNTS_SCHEMA).write.parquet(path)
+    return texts.sparkSession.read.schema(COUNTS_SCHEMA).parquet(path), buckets
+
+
+def frequent_words(counts: DataFrame, frequent: int = FREQUENT, rare: int = RARE) -> Vocabulary:
+    """The most frequent words, ties by hash."""
+    best = counts.mapInArrow(lambda b: _most_frequent(b, frequent), "word long, count long")
+    top = best.orderBy(F.desc("count"), "word").limit(frequent).collect()
     hashes = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], order.astype(np.int64), RARE)
+    return Vocabulary(hashes[order], order.astype(np.int64), rare, frequent)
+
+
+def class_sizes(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """What a word's count is divided by in each hash class."""
+    found = counts.mapInArrow(lambda b: _class_counts(b, vocabulary), "class int, total long, different long")
+    sizes = np.ones(vocabulary.rare)
+    for row in found.groupBy("class").agg(F.sum(F.col("total") + F.col("different")).alias("n")).collect():
+        sizes[row["class"]] += row["n"]
+    return sizes
+
+
+def count_vocabulary(
+    texts: DataFrame, bucket_bytes: int = BUCKET_BYTES, frequent: int = FREQUENT, rare: int = RARE
+) -> Vocabulary:
+    return frequent_words(count_words(texts, bucket_bytes)[0], frequent, rare)
 
 
 class Network:
@@ -222,12 +282,14 @@ def _train(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary, weights: n
             masked = place[number % MASK_EVERY == offset]
             waiting.append(np.concatenate([_context(ids, masked), ids[masked][None]]))
             size += len(masked)
-            if size >= BATCH:
-                found = np.concatenate(waiting, axis=1)
-                whole = size // BATCH * BATCH
-                for low in range(0, whole, BATCH):
-                    network.train(found[:-1, low : low + BATCH], found[-1, low : low + BATCH])
-                seen, waiting, size = seen + whole, [found[:, whole:]], size - whole
+            batch = min(max(seen // 16, FIRST_BATCH), BATCH)
+            if size >= batch:
+                found, low = np.concatenate(waiting, axis=1), 0
+                while size - low >= batch:
+                    network.train(found[:-1, low : low + batch], found[-1, low : low + batch])
+                    low += batch
+                    batch = min(max((seen + low) // 16, FIRST_BATCH), BATCH)
+                seen, waiting, size = seen + low, [found[:, low:]], size - low
     if size:
         found = np.concatenate(waiting, axis=1)
         network.train(found[:-1], found[-1])
@@ -269,26 +331,87 @@ def train_network(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS
     return network
 
 
-def _score(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
-    network = Network(vocabulary.size, weights)
+ASKED_SCHEMA = (
+    "slice string, bucket int, words binary, places binary, doc_ids array<long>, n_words array<long>, totals array<double>, "
+    "owners binary, asked binary"
+)
+SCORED_SCHEMA = "doc_id long, n_words long, pseudo_log_likelihood double, score double"
+
+
+def _score(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary, weights: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Of each slice one row with its texts' sums over classes and rare words, and a row per bucket with the words it asks for."""
+    network, kinds = Network(vocabulary.size, weights), [pa.string(), pa.int32(), pa.binary(), pa.binary()]
+    kinds += [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary(), pa.binary()]
+    names = [x.split()[0] for x in ASKED_SCHEMA.split(", ")]
     for part in slices(batches):
         ids, place, first = _places(part, vocabulary)
+        words = _words(part)[0]
         found = network.log_probabilities(_context(ids, place), ids[place])
         counts = np.diff(first)
-        total = np.array([found[a:b].sum() for a, b in zip(first[:-1].tolist(), first[1:].tolist())])
-        yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(total),
-             pa.array(total / np.maximum(counts, 1), mask=counts == 0)],
-            ["doc_id", "n_words", "pseudo_log_likelihood", "score"],
-        )
-
-
-def score_documents(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+        total = [found[a:b].sum() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+        rare = np.flatnonzero(ids[place] >= vocabulary.frequent)
+        different, asked = np.unique(words[rare], return_inverse=True)
+        owners = np.repeat(np.arange(len(part)), counts)[rare]
+        name = uuid.uuid4().hex
+        rows = [(name, None, None, None, part.column("doc_id").to_pylist(), counts.tolist(), total, owners.astype(np.uint32).tobytes(), asked.astype(np.uint32).tobytes())]
+        bucket = (different % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0, [True]])) if len(order) else np.zeros(1, np.int64)
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            at = order[a:b]
+            rows.append((name, int(bucket[at[0]]), different[at].tobytes(), at.astype(np.uint32).tobytes(), None, None, None, None, None))
+        yield pa.RecordBatch.from_arrays([pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)], names)
+
+
+def _answer(asked: pa.Table, counted: pa.Table, vocabulary: Vocabulary, sizes: np.ndarray) -> pa.Table:
+    """The shares of the words that slices ask of a bucket."""
+    known, counts = (unpacked(counted, name, kind) for name, kind in (("word", np.uint64), ("count", np.int64)))
+    shares = []
+    for row in asked.column("words"):
+        words = np.frombuffer(row.as_buffer(), np.uint64)
+        count = np.zeros(len(words))
+        if len(known):
+            place = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            count = np.where(known[place] == words, counts[place], 0)
+        shares.append(np.log((count + 1) / sizes[vocabulary.of(words) - vocabulary.frequent]).tobytes())
+    return pa.table({"slice": asked.column("slice"), "places": asked.column("places"), "shares": pa.array(shares, pa.binary())})
+
+
+def _summed(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    """A slice's texts with the shares of their words added."""
+    if not texts.num_rows:
+        return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()),
+                         "pseudo_log_likelihood": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
+    places, shares = unpacked(answers, "places", np.uint32), unpacked(answers, "shares", np.float64)
+    of = np.zeros(len(places))
+    of[places] = shares
+    row = {name: texts.column(name)[0] for name in ("doc_ids", "n_words", "totals", "owners", "asked")}
+    owners, asked = (np.frombuffer(row[name].as_buffer(), np.uint32) for name in ("owners", "asked"))
+    counts, total = row["n_words"].values.to_numpy(), row["totals"].values.to_numpy()
+    total = total + np.bincount(owners, weights=of[asked], minlength=len(total))
+    return pa.table({
+        "doc_id": row["doc_ids"].values, "n_words": pa.array(counts), "pseudo_log_likelihood": pa.array(total),
+        "score": pa.array(total / np.maximum(counts, 1), mask=counts == 0),
+    })
+
+
+def score_documents(
+    documents: DataFrame, rounds: int = ROUNDS, frequent: int = FREQUENT, rare: int = RARE
+) -> DataFrame:
     """doc_id, n_words, the summed log-probability of all words, and ``score``, its mean over the words."""
+    spark = documents.sparkSession
     texts = documents.select(typed(documents, "doc_id", "bigint"), typed(documents, "text", "string"))
-    vocabulary = count_vocabulary(texts)
+    counts, buckets = count_words(texts)
+    vocabulary = frequent_words(counts, frequent, rare)
+    sizes = class_sizes(counts, vocabulary)
     network = train_network(texts, vocabulary, rounds)
-    shared = documents.sparkSession.sparkContext.broadcast((vocabulary, network.weights))
-    return texts.mapInArrow(
-        lambda b: _score(b, *shared.value), "doc_id long, n_words long, pseudo_log_likelihood double, score double"
+    shared = spark.sparkContext.broadcast((vocabulary, network.weights, buckets))
+    path = work_dir(spark, "asked-words")  # slices have names of their own, so they are written once
+    texts.mapInArrow(lambda b: _score(b, *shared.value), ASKED_SCHEMA).write.parquet(path)
+    slices_ = spark.read.schema(ASKED_SCHEMA).parquet(path)
+    asked = slices_.filter("bucket IS NOT NULL").select("slice", "bucket", "words", "places")
+    answers = asked.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(
+        lambda left, right: _answer(left, right, vocabulary, sizes), "slice string, places binary, shares binary"
     )
+    whole = slices_.filter("bucket IS NULL").select("slice", "doc_ids", "n_words", "totals", "owners", "asked")
+    return whole.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_summed, SCORED_SCHEMA)

@@ -1,10 +1,18 @@
+from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 
 from oreflow.llm import lm_scoring
+from oreflow.llm.decontamination import item_words
 from oreflow.llm.lm_scoring import GROUP, Network, count_vocabulary, score_documents, train_network
+from oreflow.llm.textbytes import prefix_hash, span_hash
+
+
+def class_of(word, vocabulary):
+    data = np.frombuffer(word, np.uint8)
+    return int(vocabulary.of(span_hash(prefix_hash(data), np.array([0]), np.array([len(data)])))[0])
 
 
 def grammar(n, seed):
@@ -41,27 +49,31 @@ def test_gradients_and_probabilities():
     assert network.log_probabilities(context, target).sum() > before + 50
 
 
-def test_score_is_the_sum_over_masked_words(spark, monkeypatch):
+def test_score_is_the_sum_over_masked_words(spark):
+    own = {"frequent": 12, "rare": 36}  # few, so that words share the hash classes
     good, bad = rows()
     odd = [(None, "a1 m1 b1"), (20_000, ""), (20_001, None), (20_002, "Zebra"), (20_003, "a1 m1 b1 " * 5000), (0, "a1")]
     docs = spark.createDataFrame(good + bad + odd, "doc_id long, text string").repartition(3)
-    vocabulary = count_vocabulary(docs)
+    vocabulary = count_vocabulary(docs, **own)
     network = train_network(docs, vocabulary)
     found = {}
-    for r in score_documents(docs).collect():
+    for r in score_documents(docs, **own).collect():
         found.setdefault(r["doc_id"], []).append((r["n_words"], r["pseudo_log_likelihood"], r["score"]))
     assert found[20_000] == found[20_001] == [(0, 0.0, None)] and len(found[0]) == 2
     mean = lambda ids: np.mean([found[i][0][2] for i in ids])
     assert mean(range(1, 600)) > mean(range(10_000, 10_040)) + 1
 
+    counts = Counter(w for _, text in good + bad + odd for w in item_words(text))
+    classes = {w: class_of(w, vocabulary) for w in counts}
+
     def brute(text):
-        from oreflow.llm.decontamination import item_words
-        from oreflow.llm.textbytes import prefix_hash, span_hash
-        ids = []
-        for w in item_words(text):
-            data = np.frombuffer(w, np.uint8)
-            ids.append(int(vocabulary.of(span_hash(prefix_hash(data), np.array([0]), np.array([len(data)])))[0]))
+        words = item_words(text)
+        ids = [classes[w] for w in words]
         total, blank = 0.0, vocabulary.size
+        for w in words:
+            if classes[w] >= vocabulary.frequent:
+                mates = [m for m in counts if classes[m] == classes[w]]
+                total += np.log((counts[w] + 1) / (sum(counts[m] for m in mates) + len(mates) + 1))
         for i, word in enumerate(ids):
             near = [ids[j] if 0 <= j < len(ids) else blank for j in (i - 2, i - 1, i + 1, i + 2)]
             p = network.parts
@@ -99,3 +111,15 @@ def test_every_word_is_a_target_once(monkeypatch):
     words = np.concatenate([vocabulary.of(lm_scoring._words(part)[0]) for part in lm_scoring.slices([batch])])
     assert sorted(targets) == sorted(words.tolist()) and len(targets) == 1510
     assert set(pieces.column("seen").to_pylist()) == {1510}
+
+
+def test_words_of_one_class_score_apart(spark):
+    """A word seen often scores higher than one seen once that shares its hash class."""
+    vocabulary = lm_scoring.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), 47, 1)
+    names, mates = [f"word{i}" for i in range(300)], {}
+    for name in names:
+        mates.setdefault(class_of(name.encode(), vocabulary), []).append(name)
+    often, once = next(x for x in mates.values() if len(x) > 1)[:2]
+    rows_ = [(i, f"the the {often}") for i in range(50)] + [(100, f"the the {once}"), (101, "the the"), (102, "the the the")]
+    found = {r["doc_id"]: r["pseudo_log_likelihood"] for r in score_documents(spark.createDataFrame(rows_, "doc_id long, text string"), frequent=1, rare=47).collect()}
+    assert abs(found[0] - found[100] - np.log(51 / 2)) < 1e-6

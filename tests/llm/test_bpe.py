@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from oreflow.llm import bpe
 from oreflow.llm.bpe import TrieEncoder, byte_symbols, encode_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -68,3 +71,32 @@ def test_byte_symbols_differ():
 def test_other_files_are_refused():
     with pytest.raises(ValueError):
         TrieEncoder(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+
+
+def test_decoding_starts_from_the_ids():
+    encoder, library = TrieEncoder(open(PATH, encoding="utf-8").read()), Tokenizer.from_file(PATH)
+    groups = [[], [0, 1, 500], [3], [10**6, -1, 7], [10**6], list(range(0, 40_000, 997))]
+    edges = np.cumsum([0, *map(len, groups)])
+    decoded = encoder.decode_texts(np.array(sum(groups, []), np.int32), edges).to_pylist()
+    assert decoded == [encoder.decode(ids) for ids in groups]
+    assert decoded[1] == library.decode(groups[1], skip_special_tokens=False)
+
+
+def test_a_task_leaves_nothing_behind():
+    content = open(PATH, encoding="utf-8").read()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words of a text", "others <|endoftext|> and some"]})
+    (out,) = bpe._encode_batches([batch], content)
+    encoder = bpe._encoder(content)
+    assert out.num_rows == 2 and not encoder.known_words and not encoder.pairs and not encoder.store.number
+    assert bpe._encoder(content) is encoder  # the vocabulary stays
+
+
+def test_spans_of_one_hash_are_told_apart(monkeypatch):
+    data = np.frombuffer(b"aa bb aa cc bb", np.uint8)
+    start, end = np.array([0, 3, 6, 9, 12]), np.array([2, 5, 8, 11, 14])
+    for same in (False, True):
+        if same:
+            monkeypatch.setattr(bpe, "span_hash", lambda prefix, a, b: np.zeros(len(a), np.uint64))
+        kinds, which = bpe.different_spans(data, start, end)
+        strings = [data[start[k] : end[k]].tobytes() for k in kinds]
+        assert [strings[k] for k in which] == [b"aa", b"bb", b"aa", b"cc", b"bb"] and len(set(strings)) == len(strings) == 3

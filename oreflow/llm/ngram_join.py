@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.llm.buckets import bucket_count, packed, split_key, unpacked
-from oreflow.llm.shared import checkpointed, checkpointed_narrow, connected_components
+from oreflow.llm.shared import arrow_rows, checkpointed, checkpointed_narrow, connected_components
 from oreflow.llm.textbytes import LOWER, NONSPACE, Slice, mix, prefix_hash, ranges, slices, span_hash, word_spans
 
 ENUMERATE_UP_TO = 32
@@ -54,6 +54,8 @@ ENUMERATE_UP_TO = 32
 FILTER_BITS = 1 << 29
 BUCKET_BYTES = 8 << 20
 _FLUSH = 1 << 20
+#: Pairs that a task compares at once; each brings two whole sets.
+PAIR_ROWS = 200
 _SKETCH_BITS = 256
 
 
@@ -413,7 +415,12 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
         )
         return both.mapInArrow(lambda batches: _verify(batches, rule), "b long, a long")
 
-    links = checkpointed_narrow(verified(tested))
+    def linked_pairs(pairs: DataFrame) -> DataFrame:
+        compared = verified(pairs)
+        with arrow_rows(documents.sparkSession, PAIR_ROWS):
+            return checkpointed_narrow(compared)
+
+    links = linked_pairs(tested)
     components = checkpointed_narrow(connected_components(links))
     for forest in (True, False):  # first the nearest pairs that could join components, then every pair left
         placed = larger.join(components, "node", "left").select(
@@ -424,7 +431,7 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
         rows = unsettled.join(nodes.drop("doc_id"), "node").withColumn("bucket", F.shiftright("signature", 32))
         more = rows.groupBy("bucket").applyInArrow(_pairs_of(rule, forest), "b long, a long").distinct()
         more = checkpointed_narrow(more.join(tested, ["b", "a"], "left_anti"))
-        found = checkpointed_narrow(verified(more))
+        found = linked_pairs(more)
         if not found.isEmpty():
             links, tested = links.unionByName(found), tested.unionByName(more)
             components = checkpointed_narrow(connected_components(links))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,18 @@ def checkpointed_narrow(df: DataFrame) -> DataFrame:
     return kept.coalesce(1 + kept.count() // ROWS_PER_PARTITION)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs of this block hand Python at most so many rows at once: for rows that are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def held_out(doc_id: Column | str) -> Column:
     """Rows kept out of training: crc32 of the id as text, modulo 5, is 0. A null id is held out."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -333,7 +333,7 @@ def train_network(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS
 
 ASKED_SCHEMA = (
     "slice string, bucket int, words binary, places binary, doc_ids array<long>, n_words array<long>, totals array<double>, "
-    "owners binary, asked binary"
+    "rare_words binary, asked binary"
 )
 SCORED_SCHEMA = "doc_id long, n_words long, pseudo_log_likelihood double, score double"
 
@@ -351,9 +351,9 @@ def _score(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary, weights: n
         total = [found[a:b].sum() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
         rare = np.flatnonzero(ids[place] >= vocabulary.frequent)
         different, asked = np.unique(words[rare], return_inverse=True)
-        owners = np.repeat(np.arange(len(part)), counts)[rare]
+        per_text = np.diff(np.searchsorted(rare, first)).astype(np.uint32)
         name = uuid.uuid4().hex
-        rows = [(name, None, None, None, part.column("doc_id").to_pylist(), counts.tolist(), total, owners.astype(np.uint32).tobytes(), asked.astype(np.uint32).tobytes())]
+        rows = [(name, None, None, None, part.column("doc_id").to_pylist(), counts.tolist(), total, per_text.tobytes(), asked.astype(np.uint32).tobytes())]
         bucket = (different % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0, [True]])) if len(order) else np.zeros(1, np.int64)
@@ -385,10 +385,10 @@ def _summed(texts: pa.Table, answers: pa.Table) -> pa.Table:
     places, shares = unpacked(answers, "places", np.uint32), unpacked(answers, "shares", np.float64)
     of = np.zeros(len(places))
     of[places] = shares
-    row = {name: texts.column(name)[0] for name in ("doc_ids", "n_words", "totals", "owners", "asked")}
-    owners, asked = (np.frombuffer(row[name].as_buffer(), np.uint32) for name in ("owners", "asked"))
+    row = {name: texts.column(name)[0] for name in ("doc_ids", "n_words", "totals", "rare_words", "asked")}
+    per_text, asked = (np.frombuffer(row[name].as_buffer(), np.uint32) for name in ("rare_words", "asked"))
     counts, total = row["n_words"].values.to_numpy(), row["totals"].values.to_numpy()
-    total = total + np.bincount(owners, weights=of[asked], minlength=len(total))
+    total = total + np.bincount(np.repeat(np.arange(len(total)), per_text), weights=of[asked], minlength=len(total))
     return pa.table({
         "doc_id": row["doc_ids"].values, "n_words": pa.array(counts), "pseudo_log_likelihood": pa.array(total),
         "score": pa.array(total / np.maximum(counts, 1), mask=counts == 0),
@@ -413,5 +413,5 @@ def score_documents(
     answers = asked.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(
         lambda left, right: _answer(left, right, vocabulary, sizes), "slice string, places binary, shares binary"
     )
-    whole = slices_.filter("bucket IS NULL").select("slice", "doc_ids", "n_words", "totals", "owners", "asked")
+    whole = slices_.filter("bucket IS NULL").select("slice", "doc_ids", "n_words", "totals", "rare_words", "asked")
     return whole.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_summed, SCORED_SCHEMA)

@@ -20,8 +20,9 @@ Equal sets are one node (a 64-bit hash of the set). Nodes with a common signatur
 are candidates. Candidates of a signature first meet the smallest of them only;
 of those that are then in different components, the nearest pairs that could join
 the components meet; last, all pairs of components that are still apart. Each
-candidate pair is tested by size and by a parity sketch, whose distance never
-exceeds the sets' distance, and then by the sets themselves.
+candidate pair is tested by size and by a parity sketch of 256 bits, then by one
+that has at least two bits per feature, and last by the sets themselves. The
+distance of parity sketches never exceeds the sets' distance, so they drop no link.
 
 Scale: signatures move as packed arrays in buckets whose number follows the text
 size. Equal sets are one node before any comparison. A group of near copies costs
@@ -54,8 +55,9 @@ ENUMERATE_UP_TO = 32
 FILTER_BITS = 1 << 29
 BUCKET_BYTES = 8 << 20
 _FLUSH = 1 << 20
-#: Pairs that a task compares at once; each brings two whole sets.
+#: Pairs that a task compares at once: each brings two whole sets, or two sketches of a quarter byte to half a byte per feature.
 PAIR_ROWS = 200
+SKETCH_ROWS = 1000
 _SKETCH_BITS = 256
 
 
@@ -122,6 +124,25 @@ def _sketches(values: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
+def _long_sketches(values: np.ndarray, borders: np.ndarray) -> pa.Array:
+    """Parities in a power of two of hash classes, two to four for each feature; halves fold onto each other."""
+    sizes = np.diff(borders)
+    bits = np.int64(1) << np.ceil(np.log2(np.maximum(2 * sizes, _SKETCH_BITS))).astype(np.int64)
+    base = np.concatenate([[0], np.cumsum(bits)])
+    hashes = mix(values ^ np.uint64(0x14057B7EF767814F)) & np.repeat(bits - 1, sizes).astype(np.uint64)
+    odd = np.bincount(np.repeat(base[:-1], sizes) + hashes.astype(np.int64), minlength=int(base[-1])) & 1
+    packed_bits = np.packbits(odd.astype(np.uint8))
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((base // 8).astype(np.int32)), pa.py_buffer(packed_bits)])
+
+
+def _folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch that the same features have in fewer classes."""
+    while len(sketch) > size:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch
+
+
 def bands(largest: int, rule: Similarity) -> tuple[np.ndarray, np.ndarray]:
     """First and last sizes of the bands up to the one that holds ``largest``, and one more."""
     low, first, last = 1, [], []
@@ -189,7 +210,7 @@ def signatures(values: np.ndarray, borders: np.ndarray, rule: Similarity) -> tup
     return np.concatenate(out), np.concatenate(owners)
 
 
-META_SCHEMA = "doc_id long, n_shingles long, node long, s0 long, s1 long, s2 long, s3 long"
+META_SCHEMA = "doc_id long, n_shingles long, node long, s0 long, s1 long, s2 long, s3 long, sketch binary"
 
 
 def _meta(batches: Iterable[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
@@ -199,7 +220,8 @@ def _meta(batches: Iterable[pa.RecordBatch], rule: Similarity) -> Iterator[pa.Re
         sketch = _sketches(values, borders)
         yield pa.RecordBatch.from_arrays(
             [part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(set_nodes(values, borders), mask=sizes == 0)]
-            + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(4)],
+            + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(4)]
+            + [_long_sketches(values, borders)],
             [x.split()[0] for x in META_SCHEMA.split(", ")],
         )
 
@@ -375,6 +397,18 @@ def _verify(batches: Iterable[pa.RecordBatch], rule: Similarity) -> Iterator[pa.
         yield batch.select(["b", "a"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _sketched_near(batches: Iterable[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
+    """The pairs whose long sketches, folded to the shorter one's length, allow a link."""
+    for batch in batches:
+        far = np.empty(len(batch), np.int64)
+        for i, (x, y) in enumerate(zip(batch.column("a_sketch"), batch.column("b_sketch"))):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            size = min(len(x), len(y))
+            far[i] = np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()
+        total = batch.column("a_n_shingles").to_numpy() + batch.column("b_n_shingles").to_numpy()
+        yield batch.select(["b", "a"]).filter(pa.array(far <= rule.distance(total)))
+
+
 def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -384,7 +418,7 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
     sketch = [F.max(f"s{i}").alias(f"s{i}") for i in range(4)]
     nodes = checkpointed(
         meta.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), *sketch
+            F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), *sketch, F.max("sketch").alias("sketch")
         )
     )
     signed = named.mapInArrow(lambda b: _signature_rows(b, buckets, rule), "bucket int, rest binary, node binary")
@@ -404,6 +438,13 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
         ).select("b", "a")
     )
 
+    def sketched(pairs: DataFrame) -> DataFrame:
+        """The pairs that may link by their long sketches."""
+        for x in "ba":
+            of_x = nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"{x}_n_shingles"), F.col("sketch").alias(f"{x}_sketch"))
+            pairs = pairs.join(of_x, x)
+        return pairs.mapInArrow(lambda batches: _sketched_near(batches, rule), "b long, a long")
+
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs whose sets link. Sets are rebuilt where the texts are read, for the nodes of these pairs."""
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -416,7 +457,9 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
         return both.mapInArrow(lambda batches: _verify(batches, rule), "b long, a long")
 
     def linked_pairs(pairs: DataFrame) -> DataFrame:
-        compared = verified(pairs)
+        with arrow_rows(documents.sparkSession, SKETCH_ROWS):
+            near = checkpointed_narrow(sketched(pairs))
+        compared = verified(near)
         with arrow_rows(documents.sparkSession, PAIR_ROWS):
             return checkpointed_narrow(compared)
 
@@ -428,7 +471,7 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
         )
         spread = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         unsettled = placed.join(spread.filter("low < high").select("signature"), "signature", "left_semi")
-        rows = unsettled.join(nodes.drop("doc_id"), "node").withColumn("bucket", F.shiftright("signature", 32))
+        rows = unsettled.join(nodes.drop("doc_id", "sketch"), "node").withColumn("bucket", F.shiftright("signature", 32))
         more = rows.groupBy("bucket").applyInArrow(_pairs_of(rule, forest), "b long, a long").distinct()
         more = checkpointed_narrow(more.join(tested, ["b", "a"], "left_anti"))
         found = linked_pairs(more)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from oreflow.llm.ngram_join import Similarity, bands, link_documents, partitioning, signatures
+from oreflow.llm.ngram_join import Similarity, _folded, _long_sketches, bands, link_documents, partitioning, signatures
 
 
 def brute(rows, rule):
@@ -79,6 +79,21 @@ def test_linked_sets_share_a_signature(rule):
                 assert set(found[owner == 0].tolist()) & set(found[owner == 1].tolist())
 
 
+def test_sketch_distance_never_exceeds_the_sets_distance():
+    rng = np.random.default_rng(5)
+    for size in [1, 100, 128, 129, 300, 513, 2000, 9000]:
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for changed in [0, 1, size // 20, size // 5, size]:
+            b = np.unique(np.concatenate([a[changed:], rng.integers(0, 2**63, changed // 2 + 1).astype(np.uint64)]))
+            borders = np.array([0, len(a), len(a) + len(b), len(a) + len(b)])
+            x, y, none = (np.frombuffer(v.as_py(), np.uint64) for v in _long_sketches(np.concatenate([a, b]), borders))
+            least = min(len(x), len(y))
+            distance = int(np.bitwise_count(_folded(x, least) ^ _folded(y, least)).sum())
+            assert distance <= len(np.setxor1d(a, b)) and not none.any()
+            if changed == size > 500:  # unrelated sets are told apart
+                assert distance > Similarity(5, 80, 100).distance(np.int64(len(a) + len(b)))
+
+
 def test_bands_and_partitions():
     first, last = bands(1000, Similarity())
     assert first[0] == 1 and (first[1:] == last[:-1] + 1).all() and first[-1] > 1000

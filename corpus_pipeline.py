@@ -68,6 +68,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     named = ids.select("row_id", "component_id", F.struct(F.coalesce("doc_id", "row_id").alias("doc_id"), "row_id").alias("place"))
     first = named.groupBy("component_id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     gone = named.join(first, "component_id").filter("row_id <> first.row_id").select("row_id")
+    path = work_dir(spark, "linked-rows")  # of a written table Spark knows the size: below its threshold no text is shuffled
+    gone.write.parquet(path)
+    gone = spark.read.schema("row_id bigint").parquet(path)
     return rows.join(gone, "row_id", "left_anti").select(*COLUMNS)
 
 

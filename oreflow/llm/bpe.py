@@ -41,12 +41,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.textbytes import NONSPACE, prefix_hash, ranges, slices, span_hash, word_spans
+from oreflow.llm.textbytes import NONSPACE, give_back, prefix_hash, ranges, slices, span_hash, word_spans
 
 MAX_FILE_BYTES = 64 << 20
 CACHED_CHUNKS = 400_000
 CACHED_BYTES = 96 << 20
 MAX_PAIRS = 300_000
+_SLICE = 1 << 20  # bytes of text encoded at once
 #: What the files' patterns mean by white space (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _BASE = (-1, "", "")
@@ -338,7 +339,7 @@ def _encoder(content: str) -> TrieEncoder:
 def _encode_batches(batches: Iterable[pa.RecordBatch], content: str) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(content)
     try:
-        for part in slices(batches):
+        for part in slices(batches, limit=_SLICE):
             ids, edges = encoder.encode_slice(part.data, part.offsets)
             columns = [(name, part.column(name)) for name in part.batch.schema.names if name != "text"]
             columns += [
@@ -348,6 +349,7 @@ def _encode_batches(batches: Iterable[pa.RecordBatch], content: str) -> Iterator
             yield pa.RecordBatch.from_arrays([values for _, values in columns], [name for name, _ in columns])
     finally:  # the worker lives on and serves other stages
         encoder.forget()
+        give_back()
 
 
 def encode_documents(documents: DataFrame, tokenizer_path: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -33,6 +33,8 @@ DIMENSIONS = 1024
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
 _CELLS = 1 << 22
+_SLICE = 1 << 20  # bytes of text counted at once
+_VECTORS = 2048  # trigrams whose vectors are held at once
 
 
 def letter_vectors(letters: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -105,15 +107,23 @@ def _counted(part: Slice) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         yield low, high, trigrams, counts.reshape(high - low, -1)
 
 
+def _bundled(counts: np.ndarray, trigrams: np.ndarray, dimensions: int, kind: type) -> np.ndarray:
+    """Sums of the trigrams' vectors, each times its count. They are integers, so the parts add up to the same in any order."""
+    out = np.zeros((len(counts), dimensions), kind)
+    for low in range(0, len(trigrams), _VECTORS):
+        at = slice(low, low + _VECTORS)
+        out += counts[:, at].astype(kind) @ trigram_vectors(trigrams[at], dimensions).astype(kind)
+    return out
+
+
 def _bundle(batches: Iterable[pa.RecordBatch], dimensions: int) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
-    for part in slices(batches):
+    for part in slices(batches, limit=_SLICE):
         langs = np.array(part.column("lang").to_pylist(), object)
         for low, high, trigrams, counts in _counted(part):
             names = sorted(set(langs[low:high]))
-            by_lang = np.stack([counts[langs[low:high] == name].sum(axis=0) for name in names]).astype(np.float64)
-            bundled = by_lang @ trigram_vectors(trigrams, dimensions).astype(np.float64)
-            for name, vector in zip(names, bundled):
+            by_lang = np.stack([counts[langs[low:high] == name].sum(axis=0) for name in names])
+            for name, vector in zip(names, _bundled(by_lang, trigrams, dimensions, np.float64)):
                 sums[name] = sums.get(name, 0) + vector.astype(np.int64)
     if sums:
         yield pa.RecordBatch.from_arrays(
@@ -140,11 +150,11 @@ def train_prototypes(documents: DataFrame, dimensions: int = DIMENSIONS) -> dict
 def _predict(
     batches: Iterable[pa.RecordBatch], keys: tuple[str, ...], names: list[str], units: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
+    for part in slices(batches, limit=_SLICE):
         n = len(part)
         best, score = np.full(n, -1), np.zeros(n)
         for low, high, trigrams, counts in _counted(part):
-            vectors = counts.astype(np.float32) @ trigram_vectors(trigrams, units.shape[1]).astype(np.float32)
+            vectors = _bundled(counts, trigrams, units.shape[1], np.float32)
             norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64))
             some = counts.sum(axis=1) > 0
             if len(names):

@@ -6,6 +6,7 @@ holds whole texts only, so memory follows ``SLICE_BYTES`` or the longest text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -41,6 +42,14 @@ class Slice:
         return self.batch.column(name)
 
 
+def give_back() -> None:
+    """Hands the system what this process has freed: a worker outlives its task, and what it keeps adds to the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """Whole rows of each batch, up to ``limit`` text bytes together. A null text has no bytes."""
     for batch in batches:
@@ -58,6 +67,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = S
                 batch.slice(low, high - low), offsets[low : high + 1] - offsets[low], data[offsets[low] : offsets[high]]
             )
             low = high
+    give_back()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,4 +1,8 @@
+import ctypes
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -100,3 +104,26 @@ def test_spans_of_one_hash_are_told_apart(monkeypatch):
         kinds, which = bpe.different_spans(data, start, end)
         strings = [data[start[k] : end[k]].tobytes() for k in kinds]
         assert [strings[k] for k in which] == [b"aa", b"bb", b"aa", b"cc", b"bb"] and len(set(strings)) == len(strings) == 3
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="the C library cannot be asked for it")
+def test_freed_memory_goes_back_to_the_system():
+    """A worker outlives its task: what a task has freed must not stay in the process."""
+    code = """
+import numpy as np, pyarrow as pa, re
+from oreflow.llm.textbytes import slices
+
+def held():
+    with open("/proc/self/smaps_rollup") as file:
+        return int(re.search(r"Rss:\\s+(\\d+)", file.read())[1]) >> 10
+
+batches = [pa.RecordBatch.from_pydict({"text": ["x"]})]
+list(slices(batches))
+before = held()
+parts = [np.ones(10_000) for _ in range(3000)]
+last = np.ones(10_000)
+del parts
+list(slices(batches))
+assert held() - before < 60, (before, held())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[2])

@@ -1,5 +1,7 @@
 import numpy as np
+import pyarrow as pa
 
+from oreflow.llm import language_id
 from oreflow.llm.language_id import DIMENSIONS, identify_languages, predict_language, train_prototypes, trigram_vectors
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -61,3 +63,21 @@ def test_learns_nothing_from_nothing(spark):
     assert identify_languages(none).count() == 0
     odd = spark.createDataFrame([(1, "abc", None, "x")], SCHEMA + ", score string")
     assert [tuple(r)[2:] for r in identify_languages(odd).collect()] == [("und", 0.0)]
+
+
+def test_vectors_of_many_trigrams_are_not_held_at_once(monkeypatch):
+    rng, sizes, whole = np.random.default_rng(4), [], language_id.trigram_vectors
+    texts = ["".join(chr(c) for c in rng.integers(0x4E00, 0x5E00, 2500)) for _ in range(4)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["a", "a", "b", "b"], "text": texts})
+
+    def noted(trigrams, dimensions):
+        sizes.append(len(trigrams))
+        return whole(trigrams, dimensions)
+
+    monkeypatch.setattr(language_id, "trigram_vectors", noted)
+    (found,) = language_id._bundle([batch], 128)
+    assert max(sizes) <= 2048 < sum(sizes)
+    sums = {r["lang"]: np.array(r["bundle"]) for r in found.to_pylist()}
+    for lang, own in (("a", texts[:2]), ("b", texts[2:])):
+        trigrams = [[ord(c) if c != " " else 0 for c in f" {t} "[i : i + 3]] for t in own for i in range(len(t))]
+        assert (sums[lang] == whole(np.array(trigrams), 128).sum(axis=0, dtype=np.int64)).all()

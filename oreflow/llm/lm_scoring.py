@@ -202,26 +202,41 @@ class Network:
         total = p["hidden"] + p["inputs"][0][context[0]]
         for k in range(1, 2 * REACH):
             total += p["inputs"][k][context[k]]
-        return np.tanh(total)
+        return np.tanh(total, out=total)
+
+    # logits are held with a row per class, so that steps over classes run along the places
 
     @staticmethod
-    def _log_softmax(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    def _softmax(logits: np.ndarray) -> np.ndarray:
+        logits -= logits.max(axis=0)
+        np.exp(logits, out=logits)
+        logits /= logits.sum(axis=0)
         return logits
 
+    @staticmethod
+    def _log_chance(logits: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """The log of the softmax at one class of each place."""
+        logits -= logits.max(axis=0)
+        found = logits[of, np.arange(len(of))]
+        return found - np.log(np.exp(logits, out=logits).sum(axis=0))
+
+    def _order(self, ids: np.ndarray) -> np.ndarray:
+        """A stable order; numpy sorts narrow integers by radix."""
+        return np.argsort(ids.astype(np.min_scalar_type(self.size)), kind="stable")
+
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         p, out = self.parts, np.empty(len(target), np.float64)
         for low in range(0, len(target), 1 << 15):
             at = slice(low, low + (1 << 15))
-            hidden, group, word = self._hidden(context[:, at]), target[at] // GROUP, target[at] % GROUP
-            found = self._log_softmax(hidden @ p["groups_w"].T + p["groups_b"])[np.arange(len(group)), group].astype(np.float64)
-            order = np.argsort(group, kind="stable")
-            edges = np.searchsorted(group[order], np.arange(self.groups + 1))
+            order = self._order(target[at] // GROUP)  # a group's places lie side by side
+            group, word = np.divmod(target[at][order], GROUP)
+            hidden = self._hidden(context[:, at][:, order])
+            found = self._log_chance(p["groups_w"] @ hidden.T + p["groups_b"][:, None], group).astype(np.float64)
+            edges = np.searchsorted(group, np.arange(self.groups + 1))
             for g in np.flatnonzero(np.diff(edges)).tolist():
-                rows = order[edges[g] : edges[g + 1]]
-                found[rows] += self._log_softmax(hidden[rows] @ p["words_w"][g].T + p["words_b"][g])[np.arange(len(rows)), word[rows]]
-            out[at] = found
+                rows = slice(edges[g], edges[g + 1])
+                found[rows] += self._log_chance(p["words_w"][g] @ hidden[rows].T + p["words_b"][g][:, None], word[rows])
+            out[at][order] = found
         return out
 
     def _step(self, name: str, index, gradient: np.ndarray) -> None:
@@ -232,38 +247,39 @@ class Network:
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
         """One step on a batch of masked places."""
         p, n = self.parts, len(target)
-        hidden, group, word = self._hidden(context), target // GROUP, target % GROUP
-        error = np.exp(self._log_softmax(hidden @ p["groups_w"].T + p["groups_b"]))
-        error[np.arange(n), group] -= 1
-        back = error @ p["groups_w"]
-        updates = [("groups_w", slice(None), error.T @ hidden), ("groups_b", slice(None), error.sum(axis=0))]
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(self.groups + 1))
+        order = self._order(target // GROUP)  # a group's places lie side by side
+        context, (group, word) = context[:, order], np.divmod(target[order], GROUP)
+        hidden = self._hidden(context)
+        error = self._softmax(p["groups_w"] @ hidden.T + p["groups_b"][:, None])
+        error[group, np.arange(n)] -= 1
+        back = error.T @ p["groups_w"]
+        updates = [("groups_w", slice(None), error @ hidden), ("groups_b", slice(None), error.sum(axis=1))]
+        edges = np.searchsorted(group, np.arange(self.groups + 1))
         for g in np.flatnonzero(np.diff(edges)).tolist():
-            rows = order[edges[g] : edges[g + 1]]
-            wrong = np.exp(self._log_softmax(hidden[rows] @ p["words_w"][g].T + p["words_b"][g]))
-            wrong[np.arange(len(rows)), word[rows]] -= 1
-            back[rows] += wrong @ p["words_w"][g]
-            updates += [("words_w", g, wrong.T @ hidden[rows]), ("words_b", g, wrong.sum(axis=0))]
+            rows = slice(edges[g], edges[g + 1])
+            wrong = self._softmax(p["words_w"][g] @ hidden[rows].T + p["words_b"][g][:, None])
+            wrong[word[rows], np.arange(len(word[rows]))] -= 1
+            back[rows] += wrong.T @ p["words_w"][g]
+            updates += [("words_w", g, wrong @ hidden[rows]), ("words_b", g, wrong.sum(axis=1))]
         back *= 1 - hidden * hidden
         updates.append(("hidden", slice(None), back.sum(axis=0)))
         for name, index, gradient in updates:
             self._step(name, index, gradient / n)
         for k in range(2 * REACH):
-            order = np.argsort(context[k], kind="stable")
+            order = self._order(context[k])
             seen = context[k][order]
             first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
             self._step("inputs", (k, seen[first]), np.add.reduceat(back[order], first) / n)
 
 
-def _places(part: Slice, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of all words with ``REACH`` blanks around each text, the place of each word, and the texts' borders."""
+def _places(part: Slice, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all words with ``REACH`` blanks around each text, the place of each word, the texts' borders, and the words."""
     words, first = _words(part)
     counts = np.diff(first)
     place = np.arange(len(words)) + np.repeat(REACH * (np.arange(len(part)) + 1), counts)
     ids = np.full(len(words) + REACH * (len(part) + 1), vocabulary.size)
     ids[place] = vocabulary.of(words)
-    return ids, place, first
+    return ids, place, first, words
 
 
 def _context(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -274,7 +290,7 @@ def _train(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary, weights: n
     network = Network(vocabulary.size, weights.copy())
     seen, waiting, size = 0, [], 0
     for part in slices(batches):
-        ids, place, first = _places(part, vocabulary)
+        ids, place, first, _ = _places(part, vocabulary)
         counts = np.diff(first)
         number = ranges(np.zeros(len(part), np.int64), counts)
         number += np.repeat(counts, counts)
@@ -344,8 +360,7 @@ def _score(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary, weights: n
     kinds += [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in ASKED_SCHEMA.split(", ")]
     for part in slices(batches):
-        ids, place, first = _places(part, vocabulary)
-        words = _words(part)[0]
+        ids, place, first, words = _places(part, vocabulary)
         found = network.log_probabilities(_context(ids, place), ids[place])
         counts = np.diff(first)
         total = [found[a:b].sum() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]

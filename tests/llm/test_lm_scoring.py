@@ -123,3 +123,18 @@ def test_words_of_one_class_score_apart(spark):
     rows_ = [(i, f"the the {often}") for i in range(50)] + [(100, f"the the {once}"), (101, "the the"), (102, "the the the")]
     found = {r["doc_id"]: r["pseudo_log_likelihood"] for r in score_documents(spark.createDataFrame(rows_, "doc_id long, text string"), frequent=1, rare=47).collect()}
     assert abs(found[0] - found[100] - np.log(51 / 2)) < 1e-6
+
+
+def test_scoring_cuts_a_slice_into_words_once(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2], pa.int64()), "text": ["a b a", "b c"]})
+    vocabulary, calls, cut = lm_scoring.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], lm_scoring._words
+    monkeypatch.setattr(lm_scoring, "_words", lambda part: calls.append(1) or cut(part))
+    (found,) = lm_scoring._score([batch], vocabulary, Network(vocabulary.size).weights, 3)
+    assert found.column("n_words")[0].as_py() == [3, 2] and len(calls) == 1
+
+
+def test_chances_do_not_depend_on_the_order_of_places():
+    network, rng = Network(4 * GROUP), np.random.default_rng(5)
+    context, target = rng.integers(0, 4 * GROUP + 1, (4, 500)), rng.integers(0, 4 * GROUP, 500)
+    found, mixed = network.log_probabilities(context, target), rng.permutation(500)
+    assert np.allclose(network.log_probabilities(context[:, mixed], target[mixed]), found[mixed], atol=1e-5)

@@ -20,9 +20,10 @@ Equal sets are one node (a 64-bit hash of the set). Nodes with a common signatur
 are candidates. Candidates of a signature first meet the smallest of them only;
 of those that are then in different components, the nearest pairs that could join
 the components meet; last, all pairs of components that are still apart. Each
-candidate pair is tested by size and by a parity sketch of 256 bits, then by one
-that has at least two bits per feature, and last by the sets themselves. The
-distance of parity sketches never exceeds the sets' distance, so they drop no link.
+pair with a signature's smallest candidate is tested by size and by a parity sketch
+of 256 bits. All pairs are tested by one that has a bit per feature at least, where
+candidates meet, and last by the sets themselves. The distance of parity sketches
+never exceeds the sets' distance, so they drop no link.
 
 Scale: signatures move as packed arrays in buckets whose number follows the text
 size. Equal sets are one node before any comparison. A group of near copies costs
@@ -59,6 +60,8 @@ _FLUSH = 1 << 20
 PAIR_ROWS = 200
 SKETCH_ROWS = 1000
 _SKETCH_BITS = 256
+#: Parities of more features vary less: beyond so many, half the bits tell sets apart as well.
+_LARGE_SET = 1024
 
 
 @dataclass(frozen=True)
@@ -125,9 +128,10 @@ def _sketches(values: np.ndarray, borders: np.ndarray) -> np.ndarray:
 
 
 def _long_sketches(values: np.ndarray, borders: np.ndarray) -> pa.Array:
-    """Parities in a power of two of hash classes, two to four for each feature; halves fold onto each other."""
+    """Parities in a power of two of hash classes, two to four for each feature (in large sets one to two); halves fold onto each other."""
     sizes = np.diff(borders)
-    bits = np.int64(1) << np.ceil(np.log2(np.maximum(2 * sizes, _SKETCH_BITS))).astype(np.int64)
+    wanted = np.where(sizes > _LARGE_SET, sizes, 2 * sizes)
+    bits = np.int64(1) << np.ceil(np.log2(np.maximum(wanted, _SKETCH_BITS))).astype(np.int64)
     base = np.concatenate([[0], np.cumsum(bits)])
     hashes = mix(values ^ np.uint64(0x14057B7EF767814F)) & np.repeat(bits - 1, sizes).astype(np.uint64)
     odd = np.bincount(np.repeat(base[:-1], sizes) + hashes.astype(np.int64), minlength=int(base[-1])) & 1
@@ -321,7 +325,7 @@ def _forest(distance: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.nda
 def _cross_pairs(group: pa.Table, rule: Similarity, forest: bool) -> pa.Table:
     """Plausible pairs between different components under the same signature: all, or a forest of the nearest."""
     signature, node, component, size = (group.column(c).to_numpy() for c in ("signature", "node", "component", "n_shingles"))
-    sketch = np.stack([group.column(f"s{i}").to_numpy() for i in range(4)], axis=1).view(np.uint64)
+    sketch = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("sketch")]
     order = np.lexsort((component, signature))
     edges = np.flatnonzero(np.concatenate([[True], np.diff(signature[order]) != 0, [True]]))
     found = []
@@ -330,12 +334,14 @@ def _cross_pairs(group: pa.Table, rule: Similarity, forest: bool) -> pa.Table:
         parts = np.split(rows, np.flatnonzero(np.diff(component[rows])) + 1)
         parts.sort(key=len)
         rest = np.concatenate(parts)  # smaller components first; each meets those after it
+        words = min(len(sketch[row]) for row in rest.tolist())
+        bits = np.stack([_folded(sketch[row], words) for row in rest.tolist()])
         place, left, right, far = 0, [], [], []
         for part in parts[:-1]:
-            place += len(part)
+            first, place = place, place + len(part)
             others = rest[place:]
-            for row in part.tolist():
-                distance = np.bitwise_count(sketch[others] ^ sketch[row]).sum(axis=1)
+            for own, row in zip(bits[first:place], part.tolist()):
+                distance = np.bitwise_count(bits[place:] ^ own).sum(axis=1)
                 near = _plausible(size[others], size[row], distance, rule)
                 left.append(np.full(int(near.sum()), row))
                 right.append(others[near])
@@ -471,7 +477,7 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
         )
         spread = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         unsettled = placed.join(spread.filter("low < high").select("signature"), "signature", "left_semi")
-        rows = unsettled.join(nodes.drop("doc_id", "sketch"), "node").withColumn("bucket", F.shiftright("signature", 32))
+        rows = unsettled.join(nodes.select("node", "n_shingles", "sketch"), "node").withColumn("bucket", F.shiftright("signature", 32))
         more = rows.groupBy("bucket").applyInArrow(_pairs_of(rule, forest), "b long, a long").distinct()
         more = checkpointed_narrow(more.join(tested, ["b", "a"], "left_anti"))
         found = linked_pairs(more)

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from oreflow.llm.ngram_join import Similarity, _folded, _long_sketches, bands, link_documents, partitioning, signatures
+from oreflow.llm.ngram_join import Similarity, _folded, _long_sketches, _pairs_of, _sketches, bands, link_documents, partitioning, signatures
 
 
 def brute(rows, rule):
@@ -94,6 +95,23 @@ def test_sketch_distance_never_exceeds_the_sets_distance():
                 assert distance > Similarity(5, 80, 100).distance(np.int64(len(a) + len(b)))
 
 
+@pytest.mark.parametrize("size", [300, 700, 3000])
+def test_unrelated_sets_under_one_signature_make_no_pairs(size):
+    rng = np.random.default_rng(size)
+    sets = [np.unique(rng.integers(0, 2**63, size + i).astype(np.uint64)) for i in range(40)]
+    for changed in (size // 20, size // 7):  # these two are near the first: some 0.9 and 0.75 of both
+        sets.append(np.unique(np.concatenate([sets[0][changed:], rng.integers(0, 2**63, changed).astype(np.uint64)])))
+    values, borders = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    short, n = _sketches(values, borders), len(sets)
+    group = pa.table(
+        {"node": np.arange(n), "signature": np.full(n, 5), "component": np.arange(n), "n_shingles": np.diff(borders)}
+        | {f"s{i}": short[:, i].copy() for i in range(4)} | {"sketch": _long_sketches(values, borders)}
+    )
+    for forest in (True, False):
+        pairs = set(zip(*_pairs_of(Similarity(5, 80, 100), forest)(group).to_pydict().values()))
+        assert {(40, 0)} <= pairs <= {(40, 0), (41, 0), (41, 40)}
+
+
 def test_bands_and_partitions():
     first, last = bands(1000, Similarity())
     assert first[0] == 1 and (first[1:] == last[:-1] + 1).all() and first[-1] > 1000

@@ -49,13 +49,14 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.buckets import bucket_count, packed, split_key, unpacked
 from oreflow.llm.shared import arrow_rows, checkpointed, checkpointed_narrow, connected_components
-from oreflow.llm.textbytes import LOWER, NONSPACE, Slice, mix, prefix_hash, ranges, slices, span_hash, word_spans
+from oreflow.llm.textbytes import LOWER, NONSPACE, Slice, give_back, given_back, mix, prefix_hash, ranges, slices, span_hash, word_spans
 
 ENUMERATE_UP_TO = 32
 #: Size of the id filter that is sent to tasks (64 MB); with more ids it lets more others pass, which a join then drops.
 FILTER_BITS = 1 << 29
 BUCKET_BYTES = 8 << 20
 _FLUSH = 1 << 20
+_SLICE = 1 << 19  # bytes of text whose sets are made at once
 #: Pairs that a task compares at once: each brings two whole sets, or two sketches of a quarter byte to half a byte per feature.
 PAIR_ROWS = 200
 SKETCH_ROWS = 1000
@@ -218,7 +219,7 @@ META_SCHEMA = "doc_id long, n_shingles long, node long, s0 long, s1 long, s2 lon
 
 
 def _meta(batches: Iterable[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
+    for part in slices(batches, limit=_SLICE):
         values, borders = shingle_sets(part, rule.words)
         sizes = np.diff(borders)
         sketch = _sketches(values, borders)
@@ -239,7 +240,7 @@ def _signature_rows(batches: Iterable[pa.RecordBatch], buckets: int, rule: Simil
         bucket, rest = split_key(keys, buckets)
         return packed(bucket, {"rest": rest, "node": nodes})
 
-    for part in slices(batches):
+    for part in slices(batches, limit=_SLICE):
         values, borders = shingle_sets(part, rule.words)
         nodes = set_nodes(values, borders)
         _, first = np.unique(nodes, return_index=True)  # equal sets of a slice are sent once
@@ -253,6 +254,8 @@ def _signature_rows(batches: Iterable[pa.RecordBatch], buckets: int, rule: Simil
             held, size = [], 0
     if held:
         yield from flush()
+    held.clear()
+    give_back()
 
 
 def _common_signatures(group: pa.Table) -> pa.Table:
@@ -356,7 +359,7 @@ def _cross_pairs(group: pa.Table, rule: Similarity, forest: bool) -> pa.Table:
 
 
 def _pairs_of(rule: Similarity, forest: bool):
-    return lambda group: _cross_pairs(group, rule, forest)
+    return lambda group: given_back(_cross_pairs(group, rule, forest))
 
 
 def _filter_bits(ids: np.ndarray, size: int) -> np.ndarray:
@@ -386,7 +389,7 @@ def _sets(batches: Iterable[pa.RecordBatch], words: int, bitmap: np.ndarray) ->
     for batch in batches:
         bits = _filter_bits(batch.column("doc_id").to_numpy(), len(bitmap) * 64)
         passes = (bitmap[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1) == 1
-        for part in slices([batch.filter(pa.array(passes))]):
+        for part in slices([batch.filter(pa.array(passes))], limit=_SLICE):
             values, borders = shingle_sets(part, words)
             edges = (borders * 8).astype(np.int32)
             features = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(values))])
@@ -428,7 +431,7 @@ def link_documents(documents: DataFrame, rule: Similarity = Similarity(), bucket
         )
     )
     signed = named.mapInArrow(lambda b: _signature_rows(b, buckets, rule), "bucket int, rest binary, node binary")
-    groups = checkpointed(signed.groupBy("bucket").applyInArrow(_common_signatures, "bucket int, rest binary, node binary"))
+    groups = checkpointed(signed.groupBy("bucket").applyInArrow(lambda group: given_back(_common_signatures(group)), "bucket int, rest binary, node binary"))
     larger = groups.mapInArrow(_larger_groups, "signature long, node long")
 
     facts = ["n_shingles", *[f"s{i}" for i in range(4)]]

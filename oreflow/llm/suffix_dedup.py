@@ -43,12 +43,13 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.buckets import bucket_count, packed, split_key, unpacked
 from oreflow.llm.shared import checkpointed, typed
-from oreflow.llm.textbytes import Slice, mix, powers, prefix_hash, ranges, slices, span_hash
+from oreflow.llm.textbytes import Slice, give_back, given_back, mix, powers, prefix_hash, ranges, slices, span_hash
 
 LENGTH = 50
 GRAM = 18
 BUCKET_BYTES = 4 << 20
 _FLUSH = 1 << 20
+_SLICE = 1 << 19  # bytes of text judged at once: each takes some hundred bytes of numbers
 _LOW = np.uint64(0xFFFFFFFF)
 _COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
@@ -98,7 +99,7 @@ def _ids(part: Slice) -> np.ndarray:
 def _gram_rows(batches: Iterable[pa.RecordBatch], buckets: int, length: int, gram: int) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
-    for part in slices(batches):
+    for part in slices(batches, limit=_SLICE):
         ids = _ids(part)
         keys, _, _, owner = picked_grams(part, length, gram)
         kept = _one_of_each(part, ids)[owner]
@@ -113,6 +114,8 @@ def _gram_rows(batches: Iterable[pa.RecordBatch], buckets: int, length: int, gra
             yield from _packed_grams(held, buckets)
             held, size = [], 0
     yield from _packed_grams(held, buckets)
+    held.clear()
+    give_back()
 
 
 def _packed_grams(held: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -151,7 +154,7 @@ def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _context_rows(batches: Iterable[pa.RecordBatch], buckets: int, length: int, gram: int) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
-    for part in slices(batches):
+    for part in slices(batches, limit=_SLICE):
         ids, copy = _ids(part), _is_copy(part)
         keys, first, last, owner = picked_grams(part, length, gram)
         wanted, row = _flat(part.column("keys"))
@@ -162,6 +165,8 @@ def _context_rows(batches: Iterable[pa.RecordBatch], buckets: int, length: int,
             continue
         place = np.minimum(np.searchsorted(asked, ours), len(asked) - 1)
         kept = (asked[place] == ours) & ~copy[owner]
+        if not kept.any():  # copies alone have no contexts
+            continue
         first, last, owner, bucket = first[kept], last[kept], owner[kept], bucket[kept]
         sizes = last - first + length
         held.append((
@@ -174,6 +179,8 @@ def _context_rows(batches: Iterable[pa.RecordBatch], buckets: int, length: int,
             held, size = [], 0
     if held:
         yield _packed_contexts(held)
+    held.clear()
+    give_back()
 
 
 def _packed_contexts(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -216,10 +223,13 @@ def refine_buckets(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarr
     padded = np.concatenate([data, np.zeros(depth + 8, np.uint8)])
     grams = np.zeros(len(data), np.uint64)
     for k in range(8):
-        grams = (grams << np.uint64(8)) | padded[k : k + len(data)].astype(np.uint64)
+        grams <<= np.uint64(8)
+        grams |= padded[k : k + len(data)]
     order = np.argsort(grams)
+    grams = grams[order]
     change = np.ones(len(order), bool)
-    change[1:] = grams[order[1:]] != grams[order[:-1]]
+    change[1:] = grams[1:] != grams[:-1]
+    del grams, padded
     first = np.flatnonzero(change)
     sizes = np.diff(np.append(first, len(order)))
     pointer = np.zeros(len(data) + depth, np.int64)
@@ -308,7 +318,7 @@ def _is_copy(part: Slice) -> np.ndarray:
 def _judge(
     batches: Iterable[pa.RecordBatch], length: int, keep: tuple[str, ...], as_text: bool
 ) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
+    for part in slices(batches, limit=_SLICE):
         n, raw = len(part), part.data.tobytes()
         copy, tags = _is_copy(part), text_hash(part).view(np.int64).tolist()
         spans = part.column("spans").to_pylist()
@@ -371,7 +381,7 @@ def remove_repeats(
         "bucket int, docs binary, tags binary, starts binary, which binary, lengths binary, bytes binary",
     )
     spans = contexts.groupBy("bucket").applyInArrow(
-        lambda group: _repeat_rows(group, length), "doc_id long, tag long, first long, last long"
+        lambda group: given_back(_repeat_rows(group, length)), "doc_id long, tag long, first long, last long"
     )
     spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "first", "last")).alias("spans"))
     found = spans.join(copies, "doc_id", "full")

@@ -44,12 +44,19 @@ class Slice:
 
 def give_back() -> None:
     """Hands the system what this process has freed: a worker outlives its task, and what it keeps adds to the next stage."""
+    _powers.cache_clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim:
         trim(0)
 
 
+def given_back(result: pa.Table) -> pa.Table:
+    """What a function returns, once all else it had is given back: for those that get groups."""
+    give_back()
+    return result
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """Whole rows of each batch, up to ``limit`` text bytes together. A null text has no bytes."""
     for batch in batches:

@@ -1,9 +1,14 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from oreflow.llm.suffix_dedup import refine_buckets, remove_repeats
+from oreflow.llm.buckets import split_key
+from oreflow.llm.ngram_join import Similarity, _signature_rows
+from oreflow.llm.suffix_dedup import _context_rows, _gram_rows, _judge, picked_grams, refine_buckets, remove_repeats
+from oreflow.llm.textbytes import slices
 
 
 def brute(rows, length):
@@ -87,3 +92,40 @@ def test_buckets_are_the_equal_prefixes(depth):
     by_pointer, by_string = {}, {}
     for p, s in zip(pointer.tolist(), strings):
         assert by_pointer.setdefault(p, s) == s and by_string.setdefault(s, p) == p
+
+
+def test_tasks_that_have_copies_alone(spark):
+    names = ["spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions"]
+    before = [spark.conf.get(name) for name in names]
+    text = "a passage of more than fifty bytes that stands in several documents"
+    rows = [(i, text) for i in range(20)] + [(90, "x" + text)]
+    try:
+        for name, value in zip(names, ("false", "16")):
+            spark.conf.set(name, value)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(21)
+        assert digests(remove_repeats(docs)) == brute(rows, 50)
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
+def test_a_task_holds_little_beside_its_texts():
+    rng = np.random.default_rng(2)
+    texts = ["".join(map(chr, rng.integers(97, 123, 4000))) for _ in range(2000)]  # 8 MB
+    bucket, rest = split_key(picked_grams(next(slices([pa.RecordBatch.from_pydict({"text": texts})], limit=1 << 40)))[0], 64)
+    keys = ((bucket << 32) | rest.astype(np.int64))[::9]
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array(range(2000), pa.int64()), "text": texts, "keys": pa.array([keys[i::2000] for i in range(2000)], pa.list_(pa.int64())),
+        "copies": pa.array([None] * 2000, pa.list_(pa.string())),
+        "spans": pa.array([None] * 2000, pa.list_(pa.struct({"tag": pa.int64(), "first": pa.int64(), "last": pa.int64()}))),
+    })
+    for work in (
+        lambda: _gram_rows([batch], 64, 50, 18), lambda: _context_rows([batch], 64, 50, 18),
+        lambda: _judge([batch], 50, ("doc_id",), True), lambda: _signature_rows([batch], 64, Similarity(5, 80, 100)),
+    ):
+        tracemalloc.start()
+        for _ in work():
+            pass
+        kept, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert peak < 110 << 20 and kept < 16 << 20, (peak >> 20, kept >> 20)
